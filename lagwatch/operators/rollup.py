@@ -19,24 +19,35 @@ def skew_score(largest: Column, total: Column, count: Column) -> Column:
 def group_rollup(lag: DataFrame, partitions: bool = False, per_topic: bool = False) -> DataFrame:
     """Sum the partitions of each group and poll.
 
-    All measures combine before the shuffle. ``partitions`` adds the nested detail array, which
-    cannot, so it is off unless asked for. A group's topic is the first by (topic, partition);
-    ``per_topic`` keeps groups with several topics apart.
+    The first step aggregates numbers per (group, topic, poll) by hashing, before and after its
+    shuffle. A group's topic is the first by (topic, partition): the second step reduces the topics
+    of a group, usually one; ``per_topic`` leaves it out. ``partitions`` adds the nested detail
+    array, which cannot be combined before a shuffle, so it is off unless asked for.
     """
-    keys = [*POLL_KEYS, *(["topic"] if per_topic else []), F.col("poll_time").alias("event_time")]
-    measures = [
+    time = F.col("poll_time").alias("event_time")
+    details = [nested_partitions().alias("partitions")] if partitions else []
+    rolled = lag.groupBy(*POLL_KEYS, "topic", time).agg(
         F.sum("lag").alias("current_lag"),
         F.sum("current_offset").alias("total_current_offset"),
         F.sum("log_end_offset").alias("total_log_end_offset"),
         F.count(F.lit(1)).cast("int").alias("partition_count"),
         F.max("lag").alias("_largest"),
         F.min("lag").alias("_smallest"),
-    ]
+        *details,
+    )
     if not per_topic:
-        measures.insert(0, F.min("topic").alias("topic"))
-    if partitions:
-        measures.append(nested_partitions().alias("partitions"))
-    rolled = lag.groupBy(*keys).agg(*measures)
+        if partitions:
+            details = [F.sort_array(F.flatten(F.collect_list("partitions"))).alias("partitions")]
+        rolled = rolled.groupBy(*POLL_KEYS, "event_time").agg(
+            F.min("topic").alias("topic"),
+            F.sum("current_lag").alias("current_lag"),
+            F.sum("total_current_offset").alias("total_current_offset"),
+            F.sum("total_log_end_offset").alias("total_log_end_offset"),
+            F.sum("partition_count").cast("int").alias("partition_count"),
+            F.max("_largest").alias("_largest"),
+            F.min("_smallest").alias("_smallest"),
+            *details,
+        )
     return (
         rolled.withColumn(
             "partition_skew_score",

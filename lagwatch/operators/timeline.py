@@ -131,14 +131,20 @@ def running(
 def carry_last(
     df: DataFrame, keys: Sequence[str], time: str, seconds: int, columns: Sequence[str], name: str
 ) -> DataFrame:
-    """Per (key, chunk): ``columns`` of the last row before the chunk, as struct ``name``."""
+    """Per (key, chunk): ``columns`` of the last row before the chunk, as struct ``name``.
+
+    Numeric columns are picked one by one, so that the summary is a hash aggregation without a
+    sort of its input.
+    """
     last = (
-        df.withColumn(CHUNK, time_chunk(F.col(time), seconds))
+        df.select(*keys, F.col(time), *[c for c in columns if c != time])
+        .withColumn(CHUNK, time_chunk(F.col(time), seconds))
         .groupBy(*keys, CHUNK)
-        .agg(F.max_by(F.struct(*columns), F.col(time)).alias(name))
+        .agg(*[F.max_by(c, F.col(time)).alias(f"_last_{c}") for c in columns])
     )
     earlier = Window.partitionBy(*keys).orderBy(CHUNK)
-    return last.select(*keys, CHUNK, F.lag(name).over(earlier).alias(name))
+    values = F.struct(*[F.col(f"_last_{c}").alias(c) for c in columns])
+    return last.select(*keys, CHUNK, F.lag(values).over(earlier).alias(name))
 
 
 def number_by_time(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lagwatch.functions.expr import iso_utc
 from lagwatch.operators import baseline, rollup, rules
 from lagwatch.operators import timeline as tl
-from lagwatch.session import configure
+from lagwatch.session import configure, stage_table
 from lagwatch.sources import messages
 
 CLUSTER = "cluster_1"
@@ -50,15 +50,15 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = F.floor("value")
     polls = tl.running(source, ["g"], ["ts", "event_id"], number="n", sums={"volume": volume})
     block = F.call_function("div", F.col("n"), F.lit(10))
-    polls = polls.select("g", "n", "value", "volume", block.alias("blk"))
-    opening = F.first(F.struct("n", "value", "volume")).over(
-        Window.partitionBy("g", "blk").orderBy("n")
-    )
+    now = F.struct("n", "value", "volume")
+    polls = polls.select("g", block.alias("blk"), "n", now.alias("now"))
+    opening = F.first("now").over(Window.partitionBy("g", "blk").orderBy("n"))
+    polls = polls.withColumn("opening", opening)
     samples = polls.select(
         "g",
         ((F.col("blk") + F.col("g")) % 7).alias("ph"),
-        F.struct("n", "value", "volume").alias("now"),
-        opening.alias("opening"),
+        "now",
+        "opening",
         F.explode(F.sequence(F.lit(0), F.lit(2))).alias("p"),
     )
 
@@ -92,14 +92,23 @@ def group_polls(spark: SparkSession, sf_dir: str, partitions: bool = False) -> D
     return rollup.group_rollup(consumer_lag(spark, sf_dir), partitions)
 
 
+def polled(spark: SparkSession, sf_dir: str, partitions: bool = False) -> DataFrame:
+    """Group polls as a written table.
+
+    The rollup is the one step that reads every partition sample. The steps after it read its
+    result more than once (the chunks and their carry), so it is kept instead of run again.
+    """
+    return stage_table(group_polls(spark, sf_dir, partitions), "group_polls")
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collector output with derived columns; the percentile no rule reads is left out."""
-    return baseline.collect_metrics(group_polls(spark, sf_dir))
+    return baseline.collect_metrics(polled(spark, sf_dir))
 
 
 def metrics_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete raw records: every baseline, nested partitions, ISO time text."""
-    collected = baseline.collect_metrics(group_polls(spark, sf_dir, partitions=True))
+    collected = baseline.collect_metrics(polled(spark, sf_dir, partitions=True))
     full = baseline.lag_percentile(collected)
     return full.withColumn("timestamp", iso_utc(F.col("event_time")))
 
@@ -187,8 +196,8 @@ def event_json(records: DataFrame) -> Column:
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three topics as key and JSON value, with offsets per (topic, partition)."""
     simulated = simulator_events(spark, sf_dir)
-    found = alerts(spark, sf_dir)
-    polled = group_polls(spark, sf_dir)
+    table = polled(spark, sf_dir)
+    found = stage_table(rules.threshold_lag_up(baseline.collect_metrics(table)), "alerts")
 
     def third(number: Column) -> Column:
         return (number % 3).cast("int").alias("partition")
@@ -212,12 +221,12 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_json(F.struct(*found.columns)).alias("value"),
         )
     ).unionByName(
-        polled.select(
+        table.select(
             F.lit("metrics_source").alias("topic"),
             third(tick("event_time")),
             F.col("event_time").alias("time"),
             F.col("consumer_group").alias("key"),
-            F.to_json(F.struct(*polled.columns)).alias("value"),
+            F.to_json(F.struct(*table.columns)).alias("value"),
         )
     )
     chunked = published.withColumn(tl.CHUNK, tl.time_chunk(F.col("time"), tl.DAY))
@@ -229,7 +238,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON of raw metrics in which every 11th, 13th and 17th poll of a group is spoilt."""
-    source = baseline.collect_metrics(group_polls(spark, sf_dir, partitions=True))
+    source = baseline.collect_metrics(polled(spark, sf_dir, partitions=True))
     tick = F.call_function("div", epoch("event_time"), F.lit(10))
     as_text = F.when(tick % 13 == 0, F.concat(F.lit("lag "), F.col("current_lag").cast("string")))
     record = F.struct(

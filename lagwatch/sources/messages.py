@@ -16,11 +16,11 @@ FRAME_BYTES = 5
 
 # Variant type names that satisfy each JSON Schema type.
 _JSON_TYPES = {
-    "string": "STRING",
-    "integer": "BIGINT",
-    "number": "BIGINT|DOUBLE|FLOAT|DECIMAL",
-    "boolean": "BOOLEAN",
-    "array": "ARRAY",
+    "string": ["STRING"],
+    "integer": ["BIGINT"],
+    "number": ["BIGINT", "DOUBLE", "FLOAT", "DECIMAL"],
+    "boolean": ["BOOLEAN"],
+    "array": ["ARRAY"],
 }
 
 
@@ -53,22 +53,41 @@ def encode_framed(json_text: Column, schema_id: int) -> Column:
 
 
 def check(df: DataFrame, required: Mapping[str, str], value: str = "value") -> DataFrame:
-    """Add ``reason``: null for a valid record, else the first thing wrong with it."""
-    document = F.try_parse_json(value)
-
-    def problem(name: str, kind: str) -> Column:
-        member = F.try_variant_get("_doc", f"$.{name}", "variant")
-        fits = F.schema_of_variant(member).rlike(f"^({_JSON_TYPES[kind]})")
-        return F.when(member.isNull(), F.lit(f"missing:{name}")).when(
-            ~fits, F.lit(f"type:{name}")
+    """Add ``reason``: null for a valid record, else the first thing wrong with it.
+
+    The text is parsed once, to a map from member name to type name.
+    """
+    members = F.try_variant_get(F.try_parse_json(value), "$", "map<string, variant>")
+    types = F.transform_values(
+        members, lambda _, v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    )
+    wanted = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.array(*[F.lit(t) for t in _JSON_TYPES[kind]]).alias("types"),
+            )
+            for name, kind in required.items()
+        ]
+    )
+
+    def step(state: Column, field: Column) -> Column:
+        found = state["types"][field["name"]]
+        problem = F.when(found.isNull(), F.concat(F.lit("missing:"), field["name"])).when(
+            ~F.array_contains(field["types"], found), F.concat(F.lit("type:"), field["name"])
+        )
+        return F.struct(
+            state["types"].alias("types"), F.coalesce(state["reason"], problem).alias("reason")
         )
 
-    problems = [problem(name, kind) for name, kind in required.items()]
-    is_object = F.schema_of_variant("_doc").startswith("OBJECT")
-    reason = F.when(F.col("_doc").isNull() | ~is_object, F.lit("malformed")).otherwise(
-        F.coalesce(*problems)
+    start = F.struct(types.alias("types"), F.lit(None).cast("string").alias("reason"))
+    reason = F.aggregate(
+        wanted,
+        start,
+        step,
+        lambda state: F.when(state["types"].isNull(), "malformed").otherwise(state["reason"]),
     )
-    return df.withColumn("_doc", document).withColumn("reason", reason).drop("_doc")
+    return df.withColumn("reason", reason)
 
 
 def validate(
