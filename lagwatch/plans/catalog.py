@@ -24,6 +24,7 @@ from lagwatch.plans import inputs
 from lagwatch.plans.present import open_context, present
 from lagwatch.session import configure, scratch_path, stage_table
 from lagwatch.sources import messages, tables
+from lagwatch.streaming import jobs, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -526,3 +527,61 @@ def telemetry_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = telemetry.topic_telemetry(inputs.telemetry_samples(spark, sf_dir), "P1D")
     newest = alerts.upsert_latest(daily, ["topic"], ["bucket"])
     return present(telemetry.compare(newest))
+
+
+# --- streaming --------------------------------------------------------------------------------
+
+# A last row far in the future moves the watermark past every real row; it stays in the state.
+FLUSH = "2100-01-01 00:00:00"
+STEP_ROWS = 50_000_000
+
+
+def _run(stage: stages.Stage, table: DataFrame, time: str) -> tuple[str, str]:
+    """Feed a table to a stage in event-time order; returns its folder and the input's.
+
+    Every step resumes the query from its checkpoint. The steps bound what the state holds at a
+    time, whatever the size of the table.
+    """
+    spark = table.sparkSession
+    source, root = scratch_path(spark, f"{stage.name}_in"), scratch_path(spark, stage.name)
+    steps = max(2, table.count() // STEP_ROWS + 1)
+    for step in stages.replay(table, time, source, steps):
+        if step == steps - 1:
+            last = table.limit(1).withColumn(time, F.to_timestamp(F.lit(FLUSH)))
+            last.write.mode("append").parquet(source)
+        stream = tables.stream_table(spark, source, table.schema)
+        stages.start(stage, stream, root).awaitTermination()
+    return root, source
+
+
+@query
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition samples as a stream to metric rows."""
+    samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
+    root, _ = _run(jobs.metrics_stage(), samples, "poll_time")
+    return present(stages.output(spark, root, jobs.FLAT_SCHEMA))
+
+
+@query
+def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows as a stream to the alerts of the window and correlation rules."""
+    table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
+    root, _ = _run(jobs.rules_stage(), table, "event_time")
+    return present(stages.output(spark, root, schemas.ALERTS).drop("context"))
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth poll sent again after the watermark has passed it: dropped and counted."""
+    polls = inputs.polled(spark, sf_dir).drop("partitions")
+    stage = jobs.settled_stage("late_rows")
+    root, source = _run(stage, polls, "event_time")
+    late = polls.where(inputs.epoch("event_time") % 500 == 0)
+    late.write.mode("append").parquet(source)
+    again = stages.start(stage, tables.stream_table(spark, source, polls.schema), root)
+    again.awaitTermination()
+    dropped = jobs.dropped_rows(again)
+    rows = stages.output(spark, root, polls.schema)
+    return rows.agg(F.count(F.lit(1)).alias("settled")).withColumn(
+        "dropped", F.lit(dropped).cast("long")
+    )
