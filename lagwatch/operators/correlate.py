@@ -90,8 +90,10 @@ def correlation(
 
     no_row = F.lit(None).cast(spread.select(F.struct(*columns)).schema[0].dataType)
     opened = F.col("_affected.open") + F.col("_total.open") > 0
-    closed = F.col("_affected.close") + F.col("_total.close") > 0
     us = F.col(tl.US)
+    # steps behind the end of the chunk are the next chunk's own
+    inside = us + width + 1 < (F.col(tl.CHUNK) + 1) * (chunk_seconds * tl.SECOND)
+    closed = (F.col("_affected.close") + F.col("_total.close") > 0) & inside
     entries = F.array_compact(
         F.array(
             F.when(opened, entry(us, F.col("_affected.open"), F.col("_total.open"), no_row)),

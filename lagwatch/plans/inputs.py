@@ -30,12 +30,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with a chunk column; the length follows the measured density of the table."""
-    table = events(spark, sf_dir)
+def chunk_seconds(spark: SparkSession, sf_dir: str) -> int:
+    """Chunk length for raw events, from the measured density of the table."""
     if sf_dir not in _lengths:
-        _lengths[sf_dir] = tl.measured_seconds(table, "ts", CHUNK_ROWS)
-    return table.withColumn(tl.CHUNK, tl.time_chunk(F.col("ts"), _lengths[sf_dir]))
+        _lengths[sf_dir] = tl.measured_seconds(events(spark, sf_dir), "ts", CHUNK_ROWS)
+    return _lengths[sf_dir]
+
+
+def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunk = tl.time_chunk(F.col("ts"), chunk_seconds(spark, sf_dir))
+    return events(spark, sf_dir).withColumn(tl.CHUNK, chunk)
 
 
 def _group(g: Column) -> Column:
@@ -229,7 +233,8 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_json(F.struct(*table.columns)).alias("value"),
         )
     )
-    chunked = published.withColumn(tl.CHUNK, tl.time_chunk(F.col("time"), tl.DAY))
+    length = min(chunk_seconds(spark, sf_dir), tl.DAY)
+    chunked = published.withColumn(tl.CHUNK, tl.time_chunk(F.col("time"), length))
     numbered = tl.running(chunked, ["topic", "partition"], ["time", "key"], number="_n")
     return numbered.select(
         "topic", "partition", (F.col("_n") - 1).alias("offset"), "key", "value"
