@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagwatch import schemas
@@ -185,7 +185,9 @@ def retention_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_sim_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = inputs.simulator_events(spark, sf_dir)
     text = records.select("event_id", inputs.event_json(records).alias("value"))
-    return messages.parse_event(text)
+    parsed = messages.parse_event(text)
+    open_keys = {k: F.try_element_at("extra", F.lit(k)) for k in ("phase", "sequence_number")}
+    return parsed.withColumns(open_keys).drop("extra")
 
 
 @query
@@ -260,10 +262,10 @@ def lag_24h_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _source_with_invalid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw topic as a written table; every 23rd poll carries a negative lag."""
-    source = inputs.metrics_source(spark, sf_dir)
+    source = inputs.metrics_source(spark, sf_dir, partitions=False)
     tick = F.call_function("div", inputs.epoch("event_time"), F.lit(10))
     spoilt = F.when(tick % 23 == 0, F.lit(-1)).otherwise(F.col("current_lag"))
-    return stage_table(source.withColumn("current_lag", spoilt).drop("partitions"), "metrics_source")
+    return stage_table(source.withColumn("current_lag", spoilt), "metrics_source")
 
 
 @query
@@ -501,15 +503,12 @@ def telemetry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def telemetry_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = telemetry.series(_hourly(spark, sf_dir), "received_bytes")
-    return series.withColumn(
-        "received_bytes",
-        F.transform(
-            "received_bytes",
-            lambda point: F.struct(
-                iso_utc(point["timestamp"]).alias("timestamp"), point["value"].alias("value")
-            ),
-        ),
-    )
+
+    def point(p: Column) -> Column:
+        return F.concat(iso_utc(p["timestamp"]), F.lit("="), p["value"].cast("long"))
+
+    joined = F.array_join(F.transform("received_bytes", point), ",")
+    return series.withColumn("received_bytes", joined)
 
 
 @query

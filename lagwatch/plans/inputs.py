@@ -110,9 +110,9 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baseline.collect_metrics(polled(spark, sf_dir))
 
 
-def metrics_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metrics_source(spark: SparkSession, sf_dir: str, partitions: bool = True) -> DataFrame:
     """Complete raw records: every baseline, nested partitions, ISO time text."""
-    collected = baseline.collect_metrics(polled(spark, sf_dir, partitions=True))
+    collected = baseline.collect_metrics(polled(spark, sf_dir, partitions))
     full = baseline.lag_percentile(collected)
     return full.withColumn("timestamp", iso_utc(F.col("event_time")))
 

@@ -146,7 +146,8 @@ _CTES = {
       CASE event_type WHEN 'error' THEN 'rebalance_storm' WHEN 'purchase' THEN 'lag_spike' END
         AS scenario_name,
       CASE WHEN event_type IN ('error', 'purchase') THEN 'anomaly_injection'
-        ELSE 'baseline_event' END AS event_type FROM ev""",
+        ELSE 'baseline_event' END AS event_type,
+      CASE WHEN event_type IN ('error', 'purchase') THEN 'run_' || user_id END AS scenario_id FROM ev""",
     "raw": """SELECT 'simulator_events' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition",
         event_time AS moment, consumer_group AS key FROM sim
       UNION ALL SELECT 'velocity_anomaly_alerts', CAST(tick % 3 AS INTEGER), alert_time, alert_id
@@ -419,6 +420,23 @@ def _bodies() -> dict[str, str]:
       {r4('received_records')} AS records_in, {r4('sent_records')} AS records_out FROM (
         SELECT *, row_number() OVER (PARTITION BY topic ORDER BY daily.bucket DESC) AS r FROM daily)
       WHERE r = 1"""
+
+    event = f"""{iso('event_time')} AS "timestamp", consumer_group, topic, message_count, event_type,
+      scenario_name, scenario_id"""
+    q["decode_framed_json"] = f"""SELECT consumer_group AS key, CAST(7 AS INTEGER) AS schema_id,
+      {event} FROM sim"""
+    q["parse_sim_event"] = f"""SELECT event_id, {event},
+      CASE WHEN scenario_name = 'lag_spike' THEN 'burst' END AS phase,
+      CAST(event_id AS VARCHAR) AS sequence_number FROM sim"""
+    q["telemetry_series"] = f"""SELECT topic, string_agg(({iso('bucket')}) || '=' ||
+      CAST(received_bytes AS BIGINT), ',' ORDER BY bucket) AS received_bytes FROM hourly
+      GROUP BY topic"""
+    q["stream_metrics"] = q["group_metrics"]
+    q["stream_rules"] = f"""SELECT {_ALERT} FROM (
+      SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive
+      UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""
+    q["stream_late_rows"] = """SELECT count(*) AS settled,
+      count(*) FILTER (WHERE tick % 50 = 0) AS dropped FROM metrics"""
     return q
 
 

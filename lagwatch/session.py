@@ -25,6 +25,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # windows cost much per byte: keep small shuffles on all cores; large ones are not affected
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
