@@ -87,14 +87,19 @@ def lag_baseline(df: DataFrame, hours: float = 24, q: float = 0.95) -> DataFrame
 
 
 def collect_metrics(
-    polls: DataFrame, keys: Sequence[str] = v.GROUP, velocity: str = "delta"
+    polls: DataFrame,
+    keys: Sequence[str] = v.GROUP,
+    velocity: str = "delta",
+    chunk_seconds: int = v.CHUNK_SECONDS,
 ) -> DataFrame:
     """Group polls to complete metric rows without the percentile.
 
     Speeds, velocity and the 24-hour average share one chunked window: one exchange, one sort.
     """
     previous = ["event_time", "total_current_offset", "total_log_end_offset", "current_lag"]
-    base = v.with_previous(polls, previous, keys, before=WINDOW_SECONDS)
+    base = v.with_previous(
+        polls, previous, keys, seconds=chunk_seconds, before=WINDOW_SECONDS
+    )
     measured = base.withColumns(
         {
             **v.speed_columns(),
