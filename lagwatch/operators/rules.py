@@ -6,7 +6,7 @@ A rule is Column expressions only. :func:`detect` evaluates any set of rules tha
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -178,6 +178,24 @@ def lag_spike_rule(limit: int = 10_000) -> Rule:
     )
 
 
+# Rules by name, for callers that choose them by configuration.
+REGISTRY: dict[str, Callable[..., Rule]] = {
+    "threshold_lag_up": lag_up_rule,
+    "threshold_lag_spike": lag_spike_rule,
+    "threshold_inactive": inactive_rule,
+    "rebalance_storm": rebalance_rule,
+}
+
+
+def configured(settings: Mapping[str, Mapping]) -> list[Rule]:
+    """Rules from ``{name: {"enabled": bool, **parameters}}``."""
+    return [
+        REGISTRY[name](**{k: v for k, v in options.items() if k != "enabled"})
+        for name, options in settings.items()
+        if options.get("enabled", True)
+    ]
+
+
 def in_gate(time: Column, bucket: int, open_seconds: int = 10) -> Column:
     """True in the first seconds of every bucket."""
     return F.pmod(F.unix_seconds(time), F.lit(bucket)) < open_seconds

@@ -20,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lagwatch.operators.alerts import upsert_latest
+from lagwatch.operators.timeline import SECOND
 from lagwatch.session import configure
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -104,26 +105,36 @@ def _compute(stage: Stage, root: str, settled: DataFrame, batch: int) -> None:
         return
 
     new = new.drop("_date", "_batch")
-    low, high = new.agg(F.min(stage.history_time), F.max(stage.history_time)).first()
-    since = low - timedelta(seconds=stage.lookback)
+    times = F.unix_micros(stage.history_time)
+    low, high = new.agg(F.min(times), F.max(times)).first()
+    since = low - int(stage.lookback * SECOND)
     context = new
     if stage.lookback:
-        days = (high.date() - since.date()).days
-        dates = ",".join(str(since.date() + timedelta(days=i)) for i in range(days + 1))
+        dates = ",".join(_dates(since, high))
         earlier = _read_dated(spark, history, f"_date={{{dates}}}", schema).where(
-            (F.col("_batch") < batch) & (F.col(stage.history_time) >= F.lit(since))
+            (F.col("_batch") < batch) & (F.col(stage.history_time) >= _moment(since))
         )
         context = context.unionByName(earlier.drop("_date", "_batch"))
     if stage.tail and batch:
         older = spark.read.schema(schema).parquet(f"{root}/tail/{batch - 1}")
         if stage.lookback:
-            older = older.where(F.col(stage.history_time) < F.lit(since))
+            older = older.where(F.col(stage.history_time) < _moment(since))
         context = context.unionByName(older)
-    found = stage.transform(context).where(F.col(stage.out_time) >= F.lit(low))
+    found = stage.transform(context).where(F.col(stage.out_time) >= _moment(low))
     _write_dated(found, stage.out_time, f"{root}/out", batch)
     _write_tail(stage, root, new, batch)
 
 
+def _moment(micros: int) -> Column:
+    return F.timestamp_micros(F.lit(micros).cast("long"))
+
+
+def _dates(first: int, last: int) -> list[str]:
+    """UTC dates from one time in microseconds to another."""
+    begin, end = (datetime.fromtimestamp(us / SECOND, timezone.utc).date() for us in (first, last))
+    return [str(begin + timedelta(days=i)) for i in range((end - begin).days + 1)]
+
+
 def _write_dated(df: DataFrame, time: str, path: str, batch: int) -> None:
     """Replace the rows of this batch; dates first, so that look-backs list few directories."""
     dated = df.withColumn("_date", F.to_date(time)).withColumn("_batch", F.lit(batch).cast("long"))

@@ -123,6 +123,24 @@ def test_correlation(spark, behind, severity, cause):
     assert context["degrading_groups"] == ", ".join(f"g{i}" for i in range(behind))
 
 
+def test_correlation_once_per_bucket(spark):
+    rows = [{"t": 307 + 20 * i, "consumer_group": f"g{i % 2}", "is_falling_behind": True,
+             "lag_24h_avg": 0.0} for i in range(30)]
+    table = metric_rows(spark, rows)
+    assert correlate.correlation(table).count() == 1  # only 607 lies in the first ten seconds
+    found = correlate.correlation(table, gate="first_in_bucket").orderBy("alert_time").collect()
+    assert [a.alert_time for a in found] == [at(327), at(607)]
+
+
+def test_configured_rules(spark):
+    table = metric_rows(spark, [{"t": 0, "current_lag": 60}])
+    chosen = rules.configured(
+        {"threshold_lag_spike": {"limit": 50}, "threshold_inactive": {"enabled": False}}
+    )
+    assert [r.detection_type for r in chosen] == ["THRESHOLD_LAG_SPIKE"]
+    assert rules.detect(table, chosen).count() == 1
+
+
 def test_correlation_window_edge(spark):
     def run(gap):
         rows = [{"t": 600 - gap, "consumer_group": "a", "is_falling_behind": True},
