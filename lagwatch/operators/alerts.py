@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagwatch import schemas
+from lagwatch.functions import texts
 from lagwatch.functions.expr import bucket, severity_class
 from lagwatch.operators import timeline as tl
 
@@ -117,11 +118,9 @@ def correlate_alerts(
         .select("topic", "alert_time", "recent_alerts", "correlated_groups")
         .withColumns(
             {
-                "correlation_type": F.lit("same_topic_degradation"),
-                "root_cause_probability": F.lit("broker_or_producer_issue"),
-                "recommended_action": F.concat(
-                    F.lit("Check broker health and producer for topic "), F.col("topic")
-                ),
+                "correlation_type": F.lit(texts.SAME_TOPIC),
+                "root_cause_probability": F.lit(texts.SAME_TOPIC_CAUSE),
+                "recommended_action": F.concat(F.lit(texts.SAME_TOPIC_ADVICE), F.col("topic")),
             }
         )
     )

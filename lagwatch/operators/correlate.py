@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagwatch import schemas
+from lagwatch.functions import texts
 from lagwatch.functions.expr import alert_id, json_object, least_strict
 from lagwatch.operators import timeline as tl
 from lagwatch.operators.rules import in_gate
@@ -132,9 +133,8 @@ def correlation(
         .withColumn("total_groups", F.sum("_dt").over(upto))
         .where(F.col("alert_time").isNotNull() & (affected >= min_groups))
     )
-    cause = F.when(
-        affected >= total * 0.8, "Likely producer or broker issue (most groups affected)"
-    ).otherwise("Mixed issue - check both producer and consumer health")
+    shared = affected >= total * 0.8
+    cause = F.when(shared, texts.CAUSE_SHARED).otherwise(texts.CAUSE_MIXED)
     values = {
         "alert_id": alert_id("correlation_", F.col("topic"), F.col("alert_time")),
         "detection_type": F.lit("correlation_multi_group"),
@@ -145,9 +145,7 @@ def correlation(
             total_groups_on_topic=total,
             degrading_groups=F.col("_groups"),
             root_cause=cause,
-            recommendation=F.lit(
-                "Investigate topic write throughput, broker metrics, and producer health"
-            ),
+            recommendation=F.lit(texts.CORRELATION_ADVICE),
         ),
     }
     found = counted.select(

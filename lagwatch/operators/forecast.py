@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagwatch.functions import arima
+from lagwatch.functions import arima, texts
 from lagwatch.functions.expr import deviation_percent, json_object, ladder
 from lagwatch.operators import timeline as tl
 from lagwatch.operators.rules import Rule, detect
@@ -167,7 +167,7 @@ def forecast_hot_partition(metrics: DataFrame, algorithm: str = "ARIMA", **param
         actual_skew=skew,
         deviation_percent=deviation_percent(skew, predicted),
         partition_count=F.col("partition_count"),
-        recommendation=F.lit("Review partition key distribution or scale consumer instances"),
+        recommendation=F.lit(texts.HOT_PARTITION_ADVICE),
         model_type=F.lit(algorithm),
     )
     where = (skew > predicted) & (skew > 2.0)

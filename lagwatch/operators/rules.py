@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagwatch import schemas
+from lagwatch.functions import texts
 from lagwatch.functions.expr import alert_id, json_object, ladder, least_strict
 from lagwatch.operators import timeline as tl
 
@@ -118,9 +119,7 @@ def inactive_rule(
             inactive_duration_seconds=idle,
             last_active_time=F.col("_last_active").cast("string"),
             lag_growth=lag - F.coalesce(F.col("_first_lag"), lag),
-            recommendation=F.lit(
-                "Check consumer group health, deployments, and network connectivity"
-            ),
+            recommendation=F.lit(texts.INACTIVE_ADVICE),
         ),
     )
 
@@ -156,11 +155,8 @@ def rebalance_rule(
             window_minutes=F.lit(3),
             speed_variance=variance,
             avg_speed=mean,
-            possible_cause=F.lit("Consumer group rebalancing or instance restarts"),
-            recommendation=F.lit(
-                "Check for frequent pod restarts, autoscaling events, or static membership "
-                "configuration"
-            ),
+            possible_cause=F.lit(texts.REBALANCE_CAUSE),
+            recommendation=F.lit(texts.REBALANCE_ADVICE),
         ),
     )
 
@@ -174,7 +170,7 @@ def lag_spike_rule(limit: int = 10_000) -> Rule:
         where=lag > limit,
         severity=F.lit("HIGH"),
         score=F.lit(1.0),
-        context=F.concat(F.lit("Consumer lag exceeded 10K messages: "), lag.cast("string")),
+        context=F.concat(F.lit(texts.LAG_SPIKE_TEXT), lag.cast("string")),
     )
 
 
