@@ -119,7 +119,7 @@ FROM t WINDOW g AS (PARTITION BY norm)
 
 SUBSTRING_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents
 ),
 windows AS (
@@ -135,7 +135,7 @@ covered AS (
 SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
        sha256(coalesce(array_to_string(
          CASE WHEN gone IS NULL THEN words
-              ELSE list_filter(words, (x, i) -> NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+              ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
 FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id
 """
 
