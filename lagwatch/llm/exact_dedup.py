@@ -62,6 +62,8 @@ def stream_groups(rows_path: str, schema, spark, files_per_batch: int = 64, name
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # else each store sets 4 MB of disk aside, whatever it holds
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     changes = scratch_path(spark, f"{name}-changes")
