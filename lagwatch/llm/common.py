@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lagwatch.session import stage_table
 
@@ -137,5 +136,3 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id")
 
-
-LONG = T.LongType()

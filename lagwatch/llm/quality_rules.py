@@ -30,14 +30,14 @@ LEAST_ROWS = 4
 
 #: Features of the learner: name and expression over the columns of ``statistics``.
 FEATURES = {
-    "symbols_per_word": F.expr("n_symbols / greatest(n_words, 1)"),
-    "marks_per_word": F.expr("n_marks / greatest(n_words, 1)"),
-    "upper_share": F.expr("n_upper / greatest(word_chars, 1)"),
-    "chars_per_word": F.expr("word_chars / greatest(n_words, 1)"),
-    "repeat_share": F.expr("n_repeat_words / greatest(n_words, 1)"),
-    "dup_line_share": F.expr("n_dup_lines / greatest(n_lines, 1)"),
-    "echo_share": F.expr("n_echoes / greatest(n_words, 1)"),
-    "words": F.expr("cast(n_words as double)"),
+    "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+    "marks_per_word": "n_marks / greatest(n_words, 1)",
+    "upper_share": "n_upper / greatest(word_chars, 1)",
+    "chars_per_word": "word_chars / greatest(n_words, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+    "echo_share": "n_echoes / greatest(n_words, 1)",
+    "words": "cast(n_words as double)",
 }
 
 
@@ -104,7 +104,7 @@ def base_failed() -> Column:
 
 
 def with_features(stats: DataFrame) -> DataFrame:
-    return stats.withColumns({f"f_{k}": v.cast("double") for k, v in FEATURES.items()})
+    return stats.withColumns({f"f_{k}": F.expr(v).cast("double") for k, v in FEATURES.items()})
 
 
 def verdict(rules: list[Rule]) -> Column:
