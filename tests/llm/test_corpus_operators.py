@@ -348,7 +348,7 @@ def test_compiled_character_map():
     model.ParseFromString(normaliser.serialized_model_proto())
     table = sentence_pieces.CharacterMap(model.normalizer_spec.precompiled_charsmap)
     codec = sentence_pieces.PieceCodec(queries.PIECE_BPE)
-    codec.map, codec.prefix, codec.tidy = table, False, False
+    codec.map, codec.prefix, codec.tidy = table, True, False
     for text in ("ﬁne ①②", "ｆｕｌｌ　width", "㍿ ½", "plain", "é"):
         got, origin = codec.normalise(text)
         assert got == normaliser.normalize(text)
