@@ -59,7 +59,11 @@ def scenario_rollup(events: DataFrame) -> DataFrame:
 def retain(df: DataFrame, time: str, days: int = 7) -> DataFrame:
     """Rows no older than ``days`` before the newest one.
 
-    The bound is a scalar subquery, so on a table partitioned by date the filter prunes files.
+    The bound is a scalar subquery. On a table that ``write_by_date`` made, the same bound on its
+    partition column prunes files.
     """
-    newest = df.agg(F.max(time)).scalar()
-    return df.where(F.col(time) >= newest - F.expr(f"INTERVAL {days} DAYS"))
+    bound = df.agg((F.max(time) - F.expr(f"INTERVAL {days} DAYS")).alias("bound")).scalar()
+    kept = df.where(F.col(time) >= bound)
+    if "event_date" in df.columns and time != "event_date":
+        kept = kept.where(F.col("event_date") >= F.to_date(bound))
+    return kept

@@ -38,6 +38,9 @@ def telemetry(
     """
     wanted = samples.where(F.col("metric").isin(*metrics))
     slot = F.window("ts", GRAINS[grain])["start"].alias("bucket")
+    if "topic" not in by:  # a gauge of several topics is the sum of each topic's last value
+        each = telemetry(samples, grain, [*by, "topic"], metrics)
+        return each.groupBy(*by, "bucket").agg(*[F.sum(m).alias(m) for m in metrics])
 
     def measure(name: str) -> Column:
         value = F.when(F.col("metric") == name, F.col("value"))

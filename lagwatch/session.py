@@ -34,11 +34,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests on one machine) a temporary folder is taken once and
-    recorded in the session, so that every later call sees the same place.
+    Where the setting is absent and the master is local, a temporary folder is taken once and
+    recorded in the session, so that every later call sees the same place. On a cluster the
+    setting is needed: executors do not share their local folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lagwatch-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
