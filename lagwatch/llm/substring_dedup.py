@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lagwatch.llm.common import batches, bytes_of, hot_keys, salted_join, stage
 from lagwatch.llm.words import Rolling, grams, hash_texts, sliding_min
@@ -120,8 +121,8 @@ def _first_holder(rows: DataFrame, keys: list[str], name: str, *extra: Column) -
     return salted_join(rows, shared.drop("n"), keys, "inner", hot)
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str = "substrings") -> tuple[DataFrame, DataFrame]:
-    """Maximal repeats ``(doc, mark, ranges)`` and the texts of documents that share a seed.
+def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str = "substrings") -> DataFrame:
+    """Maximal repeats ``(doc, mark, ranges)`` of the documents that have any.
 
     ``ranges`` lists (start, stop) in words, sorted and disjoint.
     """
@@ -141,11 +142,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str =
     judged = stage(salted_join(unlike, spans.drop("n"), ["anchor", "span"], "inner", hot), f"{name}-judged")
     whole = judged.filter("doc > holder").select(*KEY, "start", stop.alias("stop"))
 
-    holders = seeds.select(*KEY).distinct()
-    texts = stage(keyed.join(holders, KEY, "left_semi"), f"{name}-texts")
     asked = judged.filter("doc = holder").groupBy(*KEY).agg(F.collect_set(F.struct("start", "windows")).alias("asked"))
     run, schema = _windows(length, seed)
-    windows = texts.join(asked, KEY).select(*KEY, "text", "asked").mapInArrow(run, schema)
+    windows = keyed.join(asked, KEY).select(*KEY, "text", "asked").mapInArrow(run, schema)
     windows = stage(windows, f"{name}-windows")
     same = _first_holder(windows, ["anchor", "hash"], f"{name}-same")
     single = same.filter("doc > holder").select(*KEY, "start", (F.col("start") + length).alias("stop"))
@@ -155,7 +154,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str =
         .groupBy(*KEY)
         .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("ranges"))
     )
-    return stage(ranges, f"{name}-ranges"), texts
+    return stage(ranges, f"{name}-ranges")
 
 
 def _cut(words: list[bytes], ranges: list[dict]) -> list[bytes]:
@@ -168,47 +167,35 @@ def _cut(words: list[bytes], ranges: list[dict]) -> list[bytes]:
     return kept + words[at:]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str = "substrings") -> DataFrame:
-    """(doc, mark, kept) of the documents that lose words: what is left, joined by single spaces."""
-    ranges, texts = repeats(docs, length, seed, name)
+def _with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Columns ``text`` and ``ranges`` (null: nothing repeats), then all columns of ``docs`` as c0, c1, ...
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, 500):
-            kept = [b" ".join(_cut(t.split(), r)) for t, r in zip(bytes_of(batch.column(2)), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "mark", "kept"]
-            )
-
-    joined = texts.dropDuplicates(KEY).join(ranges, KEY).select(*KEY, "text", "ranges")
-    return stage(joined.mapInArrow(run, "doc long, mark long, kept string"), f"{name}-kept")
+    The whole texts are shuffled once, here; the renaming keeps clashing names apart.
+    """
+    doc, mark = _doc()
+    given = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    return docs.select(doc, mark, F.col("text").cast("string").alias("text"), *given).join(ranges, KEY, "left").select(
+        "text", "ranges", *(f"c{i}" for i in range(len(given)))
+    )
 
 
 def digests(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str = "substrings") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
-    removed = remove_repeats(docs, length, seed, name)
+    ranges = repeats(docs, length, seed, name)
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 500):
-            split = [t.split() for t in bytes_of(batch.column(3))]
+            split = [t.split() for t in bytes_of(batch.column(0))]
+            kept = [_cut(w, r) if r else w for w, r in zip(split, batch.column(1).to_pylist(), strict=True)]
+            n, left = (np.array([len(w) for w in side], np.int64) for side in (split, kept))
+            sha = [hashlib.sha256(b" ".join(w)).hexdigest() for w in kept]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(i) for i in range(3)),
-                    pa.array([len(w) for w in split], pa.int64()),
-                    pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in split]),
-                ],
-                ["doc_id", "doc", "mark", "n", "sha"],
+                [batch.column(2), pa.array(n), pa.array(n - left), pa.array(sha, pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    schema = "doc_id long, doc long, mark long, n long, sha string"
-    whole = docs.select(F.col("doc_id").cast("long"), *_doc(), F.col("text").cast("string")).mapInArrow(count, schema)
-    left = removed.select(
-        *KEY, F.when(F.col("kept") == "", 0).otherwise(F.size(F.split("kept", " "))).cast("long").alias("left"),
-        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha"),
-    )
-    return whole.join(left, KEY, "left").select(
-        "doc_id", F.col("n").alias("n_words"), (F.col("n") - F.coalesce("left", "n")).alias("n_removed"),
-        F.coalesce("kept_sha", "sha").alias("kept_sha256"),
-    )
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return _with_ranges(docs.select(F.col("doc_id").cast("long"), "text"), ranges).drop("c1").mapInArrow(count, schema)
 
 
 def rewrite(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str = "substrings") -> DataFrame:
@@ -216,14 +203,24 @@ def rewrite(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str =
 
     All columns are kept; ``n_chars``, where there is one, follows the text.
     """
-    removed = remove_repeats(docs, length, seed, name)
-    doc, mark = _doc()
-    changed = docs.withColumns({"_doc": doc, "_mark": mark}).join(
-        removed.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("kept").alias("_kept")),
-        ["_doc", "_mark"], "left",
-    )
-    out = {"text": F.coalesce("_kept", "text")}
-    if "n_chars" in docs.columns:
+    ranges = repeats(docs, length, seed, name)
+    others = [c for c in docs.columns if c != "text"]
+    joined = _with_ranges(docs.select("text", *(f"`{c}`" for c in others)), ranges).drop("c0")
+
+    def cut(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source, 500):
+            texts = [
+                b" ".join(_cut(t.split(), r)).decode() if r else None
+                for t, r in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True)
+            ]
+            columns = [pa.array(texts, pa.string()), *batch.columns]
+            del columns[2]  # the ranges
+            yield pa.RecordBatch.from_arrays(columns, ["kept", *(n for n in batch.schema.names if n != "ranges")])
+
+    schema = StructType([StructField("kept", StringType()), *(f for f in joined.schema if f.name != "ranges")])
+    out = {c: F.col(f"c{i}") for i, c in enumerate(others, 1)}
+    out["text"] = F.coalesce("kept", "text")
+    if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast(kind))
-    return changed.withColumns(out).select(*docs.columns)
+        out["n_chars"] = F.when(F.col("kept").isNull(), out["n_chars"]).otherwise(F.length("kept").cast(kind))
+    return joined.mapInArrow(cut, schema).select(*(out[c].alias(c) for c in docs.columns))
