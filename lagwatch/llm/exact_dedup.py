@@ -104,42 +104,59 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of, files_per_batch: int = 6
     ``docs`` needs doc_id and text; other columns are ignored. ``digest`` makes the state's key
     from the normalised text (a weaker one only sends more rows to the check of full bytes).
     """
+    found = _grouped(docs, digest, files_per_batch, name)
+    members = found.filter("group_size > 1").select(F.col("doc_id").alias("_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(members, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return _judged(_checked(docs, found, texts, digest, name)[0])
+
+
+def _grouped(docs: DataFrame, digest, files_per_batch: int, name: str) -> DataFrame:
+    """Every row with the keeper and size of its digest group, before the check of full bytes."""
     spark = docs.sparkSession
     rows = digest_rows(docs, digest, f"{name}-digests")
     path = rows.inputFiles()
     if not path:
         return rows.select(
-            "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-            F.lit(True).alias("kept"), "text_sha256",
+            "doc_id", "place", "digest", "text_sha256", F.col("doc_id").alias("keep_id"),
+            F.col("place").alias("keep_place"), F.lit(1).cast("long").alias("group_size"),
         )
     folder = path[0].rsplit("/", 1)[0]
     groups = stage(stream_groups(folder, rows.schema, spark, files_per_batch, name), f"{name}-groups")
-    hot = stage(hot_keys(groups, ["digest"], "group_size"), f"{name}-hot")
-    joined = salted_join(rows, groups, ["digest"], "inner", hot)
+    joined = salted_join(rows, groups, ["digest"], "inner", stage(hot_keys(groups, ["digest"], "group_size"), f"{name}-hot"))
     out = joined.select(
         "doc_id", "place", "digest", "text_sha256", F.col("keeper.doc_id").alias("keep_id"),
         F.col("keeper.place").alias("keep_place"), "group_size",
     )
-    out = stage(out, f"{name}-grouped")
-    differing = stage(_differing(docs, out, hot, digest, name), f"{name}-differing")
-    if not differing.isEmpty():
-        out = _by_full_text(docs, out, differing, digest, name)
-    return out.select(
+    return stage(out, f"{name}-grouped")
+
+
+def _checked(docs: DataFrame, grouped: DataFrame, texts: DataFrame, digest, name: str) -> tuple[DataFrame, bool]:
+    """``grouped`` after the check of full bytes, and whether the check changed it."""
+    differing = stage(_differing(texts, grouped, digest, name), f"{name}-differing")
+    if differing.isEmpty():
+        return grouped, False
+    return _by_full_text(docs, grouped, differing, digest, name), True
+
+
+def _judged(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
         "doc_id", "keep_id", "group_size", (F.col("place") == F.col("keep_place")).alias("kept"), "text_sha256"
     )
 
 
-def _differing(docs: DataFrame, grouped: DataFrame, hot: DataFrame, digest, name: str) -> DataFrame:
-    """Digests under which full bytes differ: texts of all rows in groups against the kept text."""
-    hits = grouped.filter("group_size > 1")
-    text = normalised("text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    # texts that belong to groups; a text travels once for each distinct doc_id of its group
-    members = hits.select("doc_id", "digest").distinct().withColumnRenamed("doc_id", "_id")
-    same = texts.withColumn("_digest", digest(F.col("text")))
-    mine = same.join(members, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("digest")))
-    mine = stage(mine.select("doc_id", "digest", "text"), f"{name}-hits")
-    keepers = hits.filter("place = keep_place").select("digest", F.col("keep_id").alias("_keep"))
+def _differing(texts: DataFrame, grouped: DataFrame, digest, name: str) -> DataFrame:
+    """Digests under which full bytes differ: the texts of all rows in groups against the kept text.
+
+    ``texts`` has (doc_id, text) of every row in a group. Other rows, which share the doc_id of such
+    a row, do no harm: their digest has no keeper here.
+    """
+    mine = texts.select("doc_id", normalised("text").alias("text"))
+    mine = stage(mine.select("doc_id", digest(F.col("text")).alias("digest"), "text"), f"{name}-hits")
+    keepers = grouped.filter("group_size > 1 and place = keep_place").select(
+        "digest", F.col("keep_id").alias("_keep"), "group_size"
+    )
+    hot = stage(hot_keys(keepers, ["digest"], "group_size"), f"{name}-hits-hot")
     kept = mine.join(keepers, (mine.digest == keepers.digest) & F.col("doc_id").eqNullSafe(F.col("_keep")))
     kept = kept.groupBy(mine.digest).agg(F.min("text").alias("_text"))
     return salted_join(mine, kept, ["digest"], "inner", hot).filter("text != _text").select("digest").distinct()
@@ -160,24 +177,33 @@ def _by_full_text(docs: DataFrame, grouped: DataFrame, differing: DataFrame, dig
     return fine.unionByName(again)
 
 
+def _marked(docs: DataFrame, grouped: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` as struct ``row`` beside what is decided for their doc_id, written once.
+
+    Serves the check of full bytes and the result, so the texts are shuffled once for both.
+    """
+    flags = grouped.groupBy(F.col("doc_id").alias("id")).agg(
+        (F.count(F.lit(1)) > 1).alias("repeated"),
+        F.max(F.col("group_size") > 1).alias("hit"),
+        F.max(F.col("place") == F.col("keep_place")).alias("kept"),
+    )
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return stage(rows.join(flags, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id"))), f"{name}-marked")
+
+
 def drop_duplicates(docs: DataFrame, name: str = "dedup") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    judged = exact_duplicates(docs, name=name)
-    kept = judged.filter("kept").groupBy("keep_id").agg(F.count(F.lit(1)).alias("_texts"))
-    repeated = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    ids = stage(
-        kept.join(repeated, F.col("keep_id").eqNullSafe(F.col("doc_id")))
-        .select(F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_repeated")),
-        f"{name}-kept",
-    )
-    once = docs.join(ids.filter("not _repeated"), docs.doc_id.eqNullSafe(F.col("_id")), "left_semi")
-    if ids.filter("_repeated").isEmpty():
+    grouped = _grouped(docs, sha256_of, 64, name)
+    marked = _marked(docs, grouped, name)
+    hits = marked.filter("hit").select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text"))
+    grouped, changed = _checked(docs, grouped, hits, sha256_of, name)
+    if changed:
+        marked = _marked(docs, grouped, name)
+    once = marked.filter("kept and not repeated").select("row.*")
+    several = marked.filter("kept and repeated").withColumn("sha", sha256_of(normalised(F.col("row.text"))))
+    if several.isEmpty():
         return once
     # a doc_id on several rows: one row for each distinct text that stays under it
-    stays = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    several = docs.join(ids.filter("_repeated"), docs.doc_id.eqNullSafe(F.col("_id")), "left_semi")
-    several = several.withColumn("_s", sha256_of(normalised("text")))
-    several = several.join(
-        stays, several.doc_id.eqNullSafe(F.col("_id")) & (F.col("_s") == F.col("_sha")), "left_semi"
-    )
-    return once.unionByName(several.dropDuplicates(["doc_id", "_s"]).drop("_s"))
+    stays = _judged(grouped).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    several = several.join(stays, F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left_semi")
+    return once.unionByName(several.dropDuplicates(["id", "sha"]).select("row.*"))
