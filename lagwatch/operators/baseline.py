@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Sequence
 
 import numpy as np
@@ -38,19 +37,26 @@ def sliding_quantile(
 ) -> np.ndarray:
     """Order statistic ``min(int(q * n), n - 1)`` of every trailing window.
 
-    ``times`` ascend; the sorted window gains and loses one value per step.
+    ``times`` ascend. The values' ranks are split bit by bit from the highest; at each bit all
+    windows at once count their members with a zero there and follow the side that holds the
+    wanted one, so the work is one pass of arrays per bit.
     """
-    window: list = []
-    out = np.empty(len(values))
-    oldest = 0
-    for i, (now, value) in enumerate(zip(times.tolist(), values.tolist())):
-        bisect.insort(window, value)
-        while times[oldest] < now - width:
-            del window[bisect.bisect_left(window, values[oldest])]
-            oldest += 1
-        n = len(window)
-        out[i] = window[min(int(quantile * n), n - 1)]
-    return out
+    stop = np.arange(1, len(values) + 1)
+    start = np.searchsorted(times, times - width)
+    wanted = np.minimum((quantile * (stop - start)).astype(np.int64), stop - start - 1)
+    distinct, ranks = np.unique(values, return_inverse=True)
+    found = np.zeros(len(values), np.int64)
+    for bit in reversed(range(len(distinct).bit_length())):
+        one = (ranks >> bit & 1).astype(bool)
+        zeros = np.concatenate([[0], np.cumsum(~one)])
+        low, high = zeros[start], zeros[stop]
+        up = wanted >= high - low
+        found |= up.astype(np.int64) << bit
+        wanted = np.where(up, wanted - (high - low), wanted)
+        start = np.where(up, zeros[-1] + start - low, low)
+        stop = np.where(up, zeros[-1] + stop - high, high)
+        ranks = np.concatenate([ranks[~one], ranks[one]])
+    return distinct[found].astype(float)
 
 
 def lag_percentile(

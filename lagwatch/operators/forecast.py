@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lagwatch.functions import arima, texts
 from lagwatch.functions.expr import deviation_percent, json_object, ladder
 from lagwatch.operators import timeline as tl
+from lagwatch.operators.velocity import GROUP
 from lagwatch.operators.rules import Rule, detect
 
 RESULT = T.StructType(
@@ -35,7 +36,7 @@ def forecast(
     threshold: float = 0.5,
     training_window: int = 100,
     algorithm: str = "ARIMA",
-    keys: Sequence[str] = ("consumer_group",),
+    keys: Sequence[str] = GROUP,
     chunk_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``anomaly_data`` (is_anomaly, anomaly_score, prediction) per row.

@@ -16,6 +16,7 @@ from lagwatch import schemas
 from lagwatch.functions import texts
 from lagwatch.functions.expr import alert_id, json_object, ladder, least_strict
 from lagwatch.operators import timeline as tl
+from lagwatch.operators.velocity import GROUP
 
 CHUNK_SECONDS = tl.DAY
 
@@ -53,7 +54,7 @@ class Rule:
 def detect(
     metrics: DataFrame,
     rules: Sequence[Rule],
-    keys: Sequence[str] = ("consumer_group",),
+    keys: Sequence[str] = GROUP,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Run rules over the metrics; rules without a frame need no shuffle at all."""
@@ -94,7 +95,7 @@ def lag_up_rule(
 
 
 def inactive_rule(
-    lookback: float = 120, lo: float = 60, hi: float = 120, keys: Sequence[str] = ("consumer_group",)
+    lookback: float = 120, lo: float = 60, hi: float = 120, keys: Sequence[str] = GROUP
 ) -> Rule:
     """Not consuming for more than ``lo`` but less than ``hi`` seconds, with lag.
 
@@ -129,7 +130,7 @@ def rebalance_rule(
     min_zeros: int = 3,
     bucket: int = 180,
     gate: str = "mod",
-    keys: Sequence[str] = ("consumer_group",),
+    keys: Sequence[str] = GROUP,
 ) -> Rule:
     """Repeated drops of the read speed to zero with a high variance."""
     window = tl.seconds_range(tl.over(keys), lookback)
@@ -222,7 +223,7 @@ def moving_avg_spike(
     value: str = "read_speed",
     rows: int = 100,
     factor: float = 2,
-    keys: Sequence[str] = ("consumer_group",),
+    keys: Sequence[str] = GROUP,
     detection_type: str = "CPU_SPIKE",
     block: int = 4096,
 ) -> DataFrame:

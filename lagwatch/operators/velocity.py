@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lagwatch.functions.expr import non_negative, or_zero, ratio_or
 from lagwatch.operators import timeline as tl
 
-GROUP = ("consumer_group",)
+#: A like-named group of another cluster is another timeline.
+GROUP = ("cluster_id", "consumer_group")
 CHUNK_SECONDS = 4 * tl.DAY
 
 

@@ -238,12 +238,13 @@ def group_speeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    collected = inputs.metrics(spark, sf_dir)
+    collected = baseline.lag_percentile(inputs.metrics(spark, sf_dir))
     return present(
         collected.select(
             "event_time", "cluster_id", "consumer_group", "topic", "current_lag", "read_speed",
             "write_speed", "time_to_catchup_seconds", "partition_skew_score", "lag_24h_avg",
-            "partition_count", "lag_velocity", "speed_ratio", "is_falling_behind",
+            "lag_percentile_95_24h", "partition_count", "lag_velocity", "speed_ratio",
+            "is_falling_behind",
         )
     )
 
@@ -256,8 +257,8 @@ def lag_24h_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lag_24h_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = inputs.group_polls(spark, sf_dir).select("consumer_group", "event_time", "current_lag")
-    return present(baseline.lag_percentile(polls).drop("current_lag"))
+    polls = inputs.group_polls(spark, sf_dir).select(*velocity.GROUP, "event_time", "current_lag")
+    return present(baseline.lag_percentile(polls).drop("cluster_id", "current_lag"))
 
 
 def _source_with_invalid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +313,7 @@ def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def moving_avg_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
     spikes = rules.moving_avg_spike(inputs.metrics(spark, sf_dir), "read_speed")
-    return present(spikes.drop("metric_value"), decimals=7)
+    return present(spikes.drop("cluster_id", "metric_value"), decimals=7)
 
 
 @query

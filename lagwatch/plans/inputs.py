@@ -243,7 +243,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON of raw metrics in which every 11th, 13th and 17th poll of a group is spoilt."""
-    source = baseline.collect_metrics(polled(spark, sf_dir, partitions=True))
+    source = baseline.lag_percentile(baseline.collect_metrics(polled(spark, sf_dir, partitions=True)))
     tick = F.call_function("div", epoch("event_time"), F.lit(10))
     as_text = F.when(tick % 13 == 0, F.concat(F.lit("lag "), F.col("current_lag").cast("string")))
     record = F.struct(
@@ -257,7 +257,7 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "time_to_catchup_seconds",
         "partition_skew_score",
         "lag_24h_avg",
-        F.col("lag_24h_avg").alias("lag_percentile_95_24h"),
+        "lag_percentile_95_24h",
         "partition_count",
         "partitions",
     )

@@ -265,8 +265,8 @@ def _bodies() -> dict[str, str]:
     q["group_speeds"] = f"SELECT {_TIMED}, {_doubles('read_speed', 'write_speed')} FROM speeds"
     q["group_metrics"] = f"""SELECT {_TIMED}, cluster_id, topic, current_lag,
       {_doubles('read_speed', 'write_speed', 'time_to_catchup_seconds', 'partition_skew_score',
-                'lag_24h_avg', 'lag_velocity', 'speed_ratio')},
-      partition_count, is_falling_behind FROM metrics"""
+                'lag_24h_avg', 'lag_percentile_95_24h', 'lag_velocity', 'speed_ratio')},
+      partition_count, is_falling_behind FROM metrics JOIN p95 USING (consumer_group, event_time)"""
     q["lag_24h_avg"] = f"SELECT {_TIMED}, {_doubles('lag_24h_avg')} FROM prev"
     q["lag_24h_p95"] = f"SELECT {_TIMED}, {_doubles('lag_percentile_95_24h')} FROM p95"
     q["format_metrics"] = f"""SELECT {_TIMED}, cluster_id, topic, current_lag,
@@ -431,7 +431,10 @@ def _bodies() -> dict[str, str]:
     q["telemetry_series"] = f"""SELECT topic, string_agg(({iso('bucket')}) || '=' ||
       CAST(received_bytes AS BIGINT), ',' ORDER BY bucket) AS received_bytes FROM hourly
       GROUP BY topic"""
-    q["stream_metrics"] = q["group_metrics"]
+    q["stream_metrics"] = f"""SELECT {_TIMED}, cluster_id, topic, current_lag,
+      {_doubles('read_speed', 'write_speed', 'time_to_catchup_seconds', 'partition_skew_score',
+                'lag_24h_avg', 'lag_velocity', 'speed_ratio')},
+      partition_count, is_falling_behind FROM metrics"""
     q["stream_rules"] = f"""SELECT {_ALERT} FROM (
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive
       UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""

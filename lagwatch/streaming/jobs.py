@@ -33,7 +33,7 @@ def metrics_stage() -> Stage:
         time="poll_time",
         prepare=rollup.group_rollup,
         transform=_flat,
-        history_keys=("consumer_group",),
+        history_keys=("cluster_id", "consumer_group"),
         history_time="event_time",
         out_time="event_time",
         lookback=baseline.WINDOW_SECONDS,
@@ -55,7 +55,7 @@ def rules_stage() -> Stage:
         keys=("cluster_id", "consumer_group"),
         time="event_time",
         transform=_all_rules,
-        history_keys=("consumer_group",),
+        history_keys=("cluster_id", "consumer_group"),
         history_time="event_time",
         out_time="alert_time",
         lookback=300,
@@ -76,7 +76,7 @@ def forecast_stage(rule=forecast.forecast_lag_up, rows: int = 100) -> Stage:
         time="event_time",
         prepare=lambda df: df.where(trained_on),
         transform=rule,
-        history_keys=("consumer_group",),
+        history_keys=("cluster_id", "consumer_group"),
         history_time="event_time",
         out_time="alert_time",
         tail=rows,
@@ -90,7 +90,7 @@ def settled_stage(name: str) -> Stage:
         keys=("cluster_id", "consumer_group"),
         time="event_time",
         transform=lambda df: df,
-        history_keys=("consumer_group",),
+        history_keys=("cluster_id", "consumer_group"),
         history_time="event_time",
         out_time="event_time",
     )

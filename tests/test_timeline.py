@@ -195,3 +195,27 @@ def test_measured_seconds(polls):
         polls, "event_time", 10
     )
     assert tl.measured_seconds(polls, "event_time", 1) >= 1
+
+
+def test_clusters_are_separate_timelines(spark):
+    """Like-named groups of two clusters give what each gives alone."""
+    rows = [
+        {"t": 10 * i, "cluster_id": c, "current_lag": lag + i, "total_current_offset": 100 * i,
+         "total_log_end_offset": 100 * i + lag + i}
+        for c, lag in (("a", 5), ("b", 5000))
+        for i in range(6)
+    ]
+    polls = spark.createDataFrame(rows).select(
+        "cluster_id", F.lit("g").alias("consumer_group"), F.timestamp_seconds("t").alias("event_time"),
+        "current_lag", "total_current_offset", "total_log_end_offset",
+    )
+
+    def values(df):
+        measured = baseline.lag_percentile(baseline.collect_metrics(df))
+        columns = ("read_speed", "lag_velocity", "lag_24h_avg", "lag_percentile_95_24h")
+        return {(r.cluster_id, r.event_time): tuple(r[c] for c in columns) for r in measured.collect()}
+
+    alone = {}
+    for cluster in ("a", "b"):
+        alone |= values(polls.where(F.col("cluster_id") == cluster))
+    assert values(polls) == alone and len(alone) == 12
