@@ -7,9 +7,9 @@ expires. Each micro-batch writes the keys it changed, named by batch id and repl
 Map-side sums come before the state's shuffle, so a digest that a third of all rows share sends one
 row per task.
 
-A hit is a row whose digest is held by another row. Hits are checked on full bytes: their texts meet
-the text of the kept row, and a row whose bytes differ leaves the group; such rows (only possible
-where a digest collides) are grouped by their full text instead.
+A hit is a row whose digest is held by another row. Hits are checked on full bytes: the texts of a
+digest meet, and where their bytes differ (only possible where a digest collides) its rows are
+grouped by their full text instead.
 
 Nulls: a null text is an empty text. A null doc_id sorts after all others and forms rows of its own.
 Repeated rows: of rows equal in doc_id and text exactly one is kept. An empty table gives an empty
@@ -105,7 +105,7 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of, files_per_batch: int = 6
     from the normalised text (a weaker one only sends more rows to the check of full bytes).
     """
     found = _grouped(docs, digest, files_per_batch, name)
-    members = found.filter("group_size > 1").select(F.col("doc_id").alias("_id")).distinct()
+    members = stage(found.filter("group_size > 1").select(F.col("doc_id").alias("_id")).distinct(), f"{name}-members")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(members, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     return _judged(_checked(docs, found, texts, digest, name)[0])
@@ -133,7 +133,7 @@ def _grouped(docs: DataFrame, digest, files_per_batch: int, name: str) -> DataFr
 
 def _checked(docs: DataFrame, grouped: DataFrame, texts: DataFrame, digest, name: str) -> tuple[DataFrame, bool]:
     """``grouped`` after the check of full bytes, and whether the check changed it."""
-    differing = stage(_differing(texts, grouped, digest, name), f"{name}-differing")
+    differing = stage(_differing(texts, digest), f"{name}-differing")
     if differing.isEmpty():
         return grouped, False
     return _by_full_text(docs, grouped, differing, digest, name), True
@@ -145,21 +145,15 @@ def _judged(grouped: DataFrame) -> DataFrame:
     )
 
 
-def _differing(texts: DataFrame, grouped: DataFrame, digest, name: str) -> DataFrame:
-    """Digests under which full bytes differ: the texts of all rows in groups against the kept text.
+def _differing(texts: DataFrame, digest) -> DataFrame:
+    """Digests under which full bytes differ. ``texts`` has the text of every row in a group.
 
-    ``texts`` has (doc_id, text) of every row in a group. Other rows, which share the doc_id of such
-    a row, do no harm: their digest has no keeper here.
+    Whole texts are the grouping key, so each is compared byte for byte; copies in one task are
+    combined before the shuffle, which a hot group passes as one row per task.
     """
-    mine = texts.select("doc_id", normalised("text").alias("text"))
-    mine = stage(mine.select("doc_id", digest(F.col("text")).alias("digest"), "text"), f"{name}-hits")
-    keepers = grouped.filter("group_size > 1 and place = keep_place").select(
-        "digest", F.col("keep_id").alias("_keep"), "group_size"
-    )
-    hot = stage(hot_keys(keepers, ["digest"], "group_size"), f"{name}-hits-hot")
-    kept = mine.join(keepers, (mine.digest == keepers.digest) & F.col("doc_id").eqNullSafe(F.col("_keep")))
-    kept = kept.groupBy(mine.digest).agg(F.min("text").alias("_text"))
-    return salted_join(mine, kept, ["digest"], "inner", hot).filter("text != _text").select("digest").distinct()
+    text = normalised("text")
+    mine = texts.select(digest(text).alias("digest"), text.alias("text")).distinct()
+    return mine.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
 
 
 def _by_full_text(docs: DataFrame, grouped: DataFrame, differing: DataFrame, digest, name: str) -> DataFrame:
@@ -180,15 +174,19 @@ def _by_full_text(docs: DataFrame, grouped: DataFrame, differing: DataFrame, dig
 def _marked(docs: DataFrame, grouped: DataFrame, name: str) -> DataFrame:
     """Rows of ``docs`` as struct ``row`` beside what is decided for their doc_id, written once.
 
-    Serves the check of full bytes and the result, so the texts are shuffled once for both.
+    Serves the check of full bytes and the result, so the texts are joined once for both. Only
+    ids in a group or on several rows take part in the join; all other rows stay as they are.
     """
     flags = grouped.groupBy(F.col("doc_id").alias("id")).agg(
         (F.count(F.lit(1)) > 1).alias("repeated"),
         F.max(F.col("group_size") > 1).alias("hit"),
         F.max(F.col("place") == F.col("keep_place")).alias("kept"),
     )
+    flags = stage(flags.filter("repeated or hit"), f"{name}-flags")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return stage(rows.join(flags, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id"))), f"{name}-marked")
+    joined = rows.join(flags, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")), "left")
+    defaults = {"repeated": False, "hit": False, "kept": True}
+    return stage(joined.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()}), f"{name}-marked")
 
 
 def drop_duplicates(docs: DataFrame, name: str = "dedup") -> DataFrame:
