@@ -152,12 +152,12 @@ def keep_one(docs: DataFrame, name: str = "simhash") -> DataFrame:
     the doc_id of a kept row are reduced to one.
     """
     judged = near_duplicates(docs, name=name)
-    kept = judged.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    kept = stage(kept.select(F.col("doc_id").alias("_id"), "_n"), f"{name}-kept")
-    match = docs.doc_id.eqNullSafe(F.col("_id"))
-    once = docs.join(kept.filter("_n = 1"), match, "left_semi")
-    if kept.filter("_n > 1").isEmpty():
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = judged.groupBy(F.col("doc_id").alias("id")).agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
+    ids = stage(ids.filter("not stays or n > 1"), f"{name}-ids")  # the others need no join partner
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    marked = rows.join(ids, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")), "left")
+    once = marked.filter("n is null").select("row.*")
+    if ids.filter("stays and n > 1").isEmpty():
         return once
-    return once.unionByName(docs.join(kept.filter("_n > 1"), match, "left_semi").dropDuplicates(["doc_id"]))
+    return once.unionByName(marked.filter("stays and n > 1").dropDuplicates(["id"]).select("row.*"))
