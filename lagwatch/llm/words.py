@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Word hashes remembered by one Python worker before older ones go.
-MEMORY = 600_000
+MEMORY = 200_000
 
 
 class WordHashes:
