@@ -61,7 +61,7 @@ def stream_groups(rows_path: str, schema, spark, files_per_batch: int = 64, name
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "64")
     # else each store sets 4 MB of disk aside, whatever it holds
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.session.timeZone", "UTC")
