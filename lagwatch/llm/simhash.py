@@ -16,7 +16,7 @@ loses no link.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -145,13 +145,13 @@ def hex_digits(fp: Column | str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, name: str = "simhash") -> DataFrame:
+def keep_one(docs: DataFrame, name: str = "simhash", judge: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
 
     Rows without doc_id stay only where no other row of the component has one. Rows that share
     the doc_id of a kept row are reduced to one.
     """
-    judged = near_duplicates(docs, name=name)
+    judged = judge(docs, name=name)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = judged.groupBy(F.col("doc_id").alias("id")).agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
     ids = stage(ids.filter("not stays or n > 1"), f"{name}-ids")  # the others need no join partner
