@@ -556,7 +556,13 @@ def _run(stage: stages.Stage, table: DataFrame, time: str) -> tuple[str, str]:
 
 @query
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition samples as a stream to metric rows."""
+    """Partition samples as a stream to metric rows, as far as its SQL states them."""
+    return stream_metric_record(spark, sf_dir).drop("lag_percentile_95_24h")
+
+
+@query
+def stream_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition samples as a stream to complete metric records, with the 24-hour percentile."""
     samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
     root, _ = _run(jobs.metrics_stage(), samples, "poll_time")
     return present(stages.output(spark, root, jobs.FLAT_SCHEMA))

@@ -435,6 +435,7 @@ def _bodies() -> dict[str, str]:
       {_doubles('read_speed', 'write_speed', 'time_to_catchup_seconds', 'partition_skew_score',
                 'lag_24h_avg', 'lag_velocity', 'speed_ratio')},
       partition_count, is_falling_behind FROM metrics"""
+    q["stream_metric_record"] = q["group_metrics"]
     q["stream_rules"] = f"""SELECT {_ALERT} FROM (
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive
       UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lagwatch import schemas
 from lagwatch.operators import alerts, baseline, correlate, feeds, forecast, rollup, rules
 from lagwatch.streaming.stages import Stage
 
+#: What the rules read of a metric record.
 FLAT_COLUMNS = (
     "event_time", "cluster_id", "consumer_group", "topic", "current_lag", "read_speed",
     "write_speed", "time_to_catchup_seconds", "partition_skew_score", "lag_24h_avg",
@@ -18,11 +18,12 @@ FLAT_COLUMNS = (
 )
 
 
-FLAT_SCHEMA = T.StructType([schemas.METRICS_FLATTENED[c] for c in FLAT_COLUMNS])
+FLAT_SCHEMA = schemas.METRICS_FLATTENED
 
 
 def _flat(polls: DataFrame) -> DataFrame:
-    return baseline.collect_metrics(polls).select(*FLAT_COLUMNS)
+    collected = baseline.lag_percentile(baseline.collect_metrics(polls))
+    return collected.select(*FLAT_SCHEMA.fieldNames())
 
 
 def metrics_stage() -> Stage:

@@ -1,0 +1,27 @@
+"""The streamed metric record is complete."""
+
+from conftest import SF
+from pyspark.sql import functions as F
+from tables import same
+from test_streaming import append, flush, run
+
+from lagwatch import schemas
+from lagwatch.operators import baseline, rollup
+from lagwatch.plans import inputs
+from lagwatch.streaming import jobs, stages
+
+
+def test_streamed_record_has_the_percentile(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    samples = inputs.consumer_lag(spark, SF).where("consumer_group in ('group_1', 'group_4')").cache()
+    middle = F.col("poll_time") < F.lit("2024-01-01 00:06:00").cast("timestamp")
+    append(samples.where(middle), source)
+    run(jobs.metrics_stage(), spark, source, samples.schema, root)
+    append(samples.where(~middle), source)
+    append(samples.limit(1).withColumn("poll_time", flush()), source)
+    run(jobs.metrics_stage(), spark, source, samples.schema, root)
+    want = baseline.lag_percentile(baseline.collect_metrics(rollup.group_rollup(samples)))
+    found = stages.output(spark, root, jobs.FLAT_SCHEMA)
+    assert found.columns == schemas.METRICS_FLATTENED.fieldNames()
+    assert found.where("lag_percentile_95_24h is null").isEmpty()
+    assert same(found, want.select(*found.columns))
