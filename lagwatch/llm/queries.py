@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagwatch.llm import (
+    conversation_repair,
     exact_dedup,
     packing,
     quality_classifier,
     quality_rules,
     sentence_pieces,
     simhash,
+    spelling,
     substring_dedup,
+    topk,
     toxicity,
     url_filter,
     wordpiece,
@@ -86,11 +89,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_quality_rules, op3_exact_dedup, op4_url_filter, op5_substring_dedup,
         op6_simhash, op7_token_counts, op8_quality_classifier, op9_sentence_pieces, op10_toxicity,
+        op11_topk, op12_conversation_repair, op13_spelling,
     )
 }
 
@@ -182,8 +198,24 @@ SELECT page_id, host, path, {RULE} AS rule,
 FROM p LEFT JOIN spread s ON s.node = p.host || p.rest
 """
 
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+WHERE r <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_SQL,
     "op4_url_filter": URL_SQL,
     "op5_substring_dedup": SUBSTRING_SQL,
+    "op11_topk": TOP_K_SQL,
 }
