@@ -46,7 +46,7 @@ def test_threshold_rule_is_a_filtered_scan(table):
 
 def test_group_rules_share_one_exchange(table):
     text = plan(rules.detect(table, [rules.lag_up_rule(), rules.inactive_rule(), rules.rebalance_rule()]))
-    assert text.count("Exchange hashpartitioning(consumer_group") == 1
+    assert text.count("Exchange hashpartitioning(cluster_id") == 1
     assert "_chunk" in text.split("Exchange hashpartitioning(")[1][:60]
     assert text.count("Sort [") == 1
 
