@@ -3,7 +3,8 @@
 The library's own encoder is the authority. A word of Latin letters, digits and signs in
 normal form is split and merged here, many at once; every other word goes through the library.
 Words may be treated one by one because ASCII white space is dropped by the tokenizer, never joins a
-piece, and stops canonical composition.
+piece, and stops canonical composition. A text that may hold one of the added tokens goes through the
+library as a whole.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ class WordBpe:
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        #: Lower-cased, so that a token matched before or after normalisation is found.
+        self.added = [t["content"].lower().encode() for t in spec["added_tokens"]]
         model = spec["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         pattern = next(
@@ -120,7 +122,13 @@ class WordBpe:
         get, old = self.known.get, self.old
         found, open_at, missing = [], [], set()
         for text in texts:
-            words = text.lower().split()
+            low = text.lower()
+            if any(token in low for token in self.added):
+                ids = self.library.encode(text.decode(), add_special_tokens=False).ids
+                found.append([np.array(ids, "<u4").tobytes()])
+                open_at.append([])
+                continue
+            words = low.split()
             ids = list(map(get, words))
             gaps = []
             if None in ids:

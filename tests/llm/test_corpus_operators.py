@@ -77,10 +77,11 @@ def words(text):
     return WORD.findall(text or "")
 
 
-def test_tokens_equal_the_library(edge, small):
+def test_tokens_equal_the_library(spark, edge, small):
     library = Tokenizer.from_file(queries.WORD_BPE)
-    library.encode_special_tokens = True
-    for docs in (edge, small):
+    marked = ["hello <|endoftext|> world", "<|startoftext|>a<|ENDOFTEXT|>b " + LONG, "a <| endoftext|> b", "<|endoftext|>"]
+    added = spark.createDataFrame(list(enumerate(marked)), "doc_id long, text string")
+    for docs in (edge, small, added):
         got = packing.tokenize_pieces(docs, queries.WORD_BPE, with_ids=True).collect()
         by_doc = {}
         for r in got:
