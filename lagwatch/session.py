@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def get_session(app: str = "lagwatch", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session with the settings every operator assumes (UTC, ANSI, AQE)."""
@@ -21,6 +25,7 @@ def get_session(app: str = "lagwatch", master: str | None = None, **conf: str) -
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session; partition counts stay the cluster's."""
+    ship(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -31,6 +36,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Functions that run there are pickled by reference to their module, so a worker must be able to
+    import it wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="lagwatch-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
 
