@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagwatch.session import stage_table
+from lagwatch.session import ship, stage_table
 
 #: Words are runs of characters other than these six (space, tab, line feed, VT, FF, CR).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,7 @@ HOT_SHARE = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
