@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagwatch.llm import memory
 from lagwatch.llm.common import batches, bytes_of, held_out, stage, training_rows
 
 #: Bound on the rows that training sees, and so on what reaches the driver.
@@ -201,6 +202,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     names = docs.columns
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("classifier")
         judge = Scorer(shared.value)
         for batch in batches(source, 500):
             values = judge(bytes_of(batch.column(names.index("text"))))
@@ -222,4 +224,7 @@ def judge(docs: DataFrame, labels: DataFrame, name: str = "classifier") -> DataF
 def keep_good(docs: DataFrame, labels: DataFrame, name: str = "classifier") -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
     model = fit(docs, labels, name=name)
-    return score(docs, model, "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    added = "_score"
+    while added in docs.columns:
+        added += "_"
+    return score(docs, model, added).filter(F.col(added) >= THRESHOLD).drop(added)

@@ -16,6 +16,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from lagwatch.llm import memory
 from lagwatch.llm.bpe import Merger, PairTable
 
 #: Words remembered by one Python worker before the memory is emptied.
@@ -160,6 +161,7 @@ _LOADED: dict[str, WordBpe] = {}
 
 def word_bpe(path: str) -> WordBpe:
     """The tokenizer of this Python worker."""
+    memory.begin("word_bpe", _LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
     return _LOADED[path]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 import numpy as np
 import xxhash
 
+from lagwatch.llm import memory
+
 #: Word hashes remembered by one Python worker before older ones go.
 MEMORY = 200_000
 
@@ -39,6 +41,10 @@ class WordHashes:
         return np.array(found, np.uint64)
 
 
+    def forget(self) -> None:
+        self.known, self.old = {}, {}
+
+
 _HASHES = WordHashes()
 
 
@@ -47,6 +53,7 @@ def hash_texts(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     ``bytes.split`` without argument cuts at exactly the six ASCII white-space characters.
     """
+    memory.begin("words", _HASHES.forget)
     parts, counts = [], []
     for text in texts:
         words = text.split()
