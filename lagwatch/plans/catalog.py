@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lagwatch import schemas
 from lagwatch.functions.expr import iso_utc
@@ -24,11 +25,12 @@ from lagwatch.plans import inputs
 from lagwatch.plans.present import open_context, present
 from lagwatch.session import configure, scratch_path, stage_table
 from lagwatch.sources import messages, tables
-from lagwatch.streaming import jobs, stages
+from lagwatch.streaming import jobs, keyed, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Members of each rule's JSON context, as published.
 LAG_UP_CONTEXT = (
     "lag_vs_avg_ratio double, actual_lag bigint, lag_24h_avg double, lag_velocity double, "
     "window_size_minutes int, model_type string"
@@ -366,7 +368,7 @@ def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def alerts_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stage_table(inputs.alerts(spark, sf_dir), "alerts")
-    return present(alerts.enrich(found, inputs.enriched_alerts(found)).drop("context"))
+    return open_context(alerts.enrich(found, inputs.enriched_alerts(found)), LAG_UP_CONTEXT)
 
 
 @query
@@ -380,7 +382,7 @@ def alerts_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def alerts_first_in_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = alerts.first_in_bucket(inputs.alerts(spark, sf_dir), 300)
-    return present(first.drop("context"))
+    return open_context(first, LAG_UP_CONTEXT)
 
 
 @query
@@ -531,63 +533,103 @@ def telemetry_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------------------------
 
-# A last row far in the future moves the watermark past every real row; it stays in the state.
-FLUSH = "2100-01-01 00:00:00"
-STEP_ROWS = 50_000_000
+def _halves(table: DataFrame, time: str) -> list[DataFrame]:
+    """The earlier and the later half of the table's span."""
+    micros = F.unix_micros(time)
+    low, high = table.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return [table]
+    early = micros <= (low + high) // 2
+    return [table.where(early), table.where(~early)]
 
 
-def _run(stage: stages.Stage, table: DataFrame, time: str) -> tuple[str, str]:
-    """Feed a table to a stage in event-time order; returns its folder and the input's.
+def _feed(tables_by_time: list[tuple[DataFrame, str, str]], begin: Callable[[], StreamingQuery]) -> None:
+    """Give a query its input in two parts, in event-time order: it ends after the first and is resumed.
 
-    Every step resumes the query from its checkpoint. The steps bound what the state holds at a
-    time, whatever the size of the table.
+    Rows of the last watermark delay stay in the state, as they would on a stream that goes on.
     """
-    spark = table.sparkSession
-    source, root = scratch_path(spark, f"{stage.name}_in"), scratch_path(spark, stage.name)
-    steps = max(2, table.count() // STEP_ROWS + 1)
-    for step in stages.replay(table, time, source, steps):
-        if step == steps - 1:
-            last = table.limit(1).withColumn(time, F.to_timestamp(F.lit(FLUSH)))
-            last.write.mode("append").parquet(source)
-        stream = tables.stream_table(spark, source, table.schema)
-        stages.start(stage, stream, root).awaitTermination()
-    return root, source
+    for parts in zip(*[_halves(table, time) for table, time, _ in tables_by_time], strict=True):
+        for part, (_, _, source) in zip(parts, tables_by_time, strict=True):
+            part.write.mode("append").parquet(source)
+        begin().awaitTermination()
 
 
 @query
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition samples as a stream to metric rows, as far as its SQL states them."""
-    return stream_metric_record(spark, sf_dir).drop("lag_percentile_95_24h")
+    """Partition samples as a stream to complete metric records, with a restart in between."""
+    samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
+    source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics")
+
+    def begin() -> StreamingQuery:
+        stream = tables.stream_table(spark, source, samples.schema)
+        return keyed.start(keyed.metric_records(stream), "event_time", root)
+
+    _feed([(samples, "poll_time", source)], begin)
+    return present(stages.output(spark, root, schemas.METRICS_FLATTENED))
 
 
 @query
 def stream_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition samples as a stream to complete metric records, with the 24-hour percentile."""
+    """The same records where the whole input is there at the start."""
     samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
-    root, _ = _run(jobs.metrics_stage(), samples, "poll_time")
-    return present(stages.output(spark, root, jobs.FLAT_SCHEMA))
+    source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics")
+    samples.write.parquet(source)
+    stream = tables.stream_table(spark, source, samples.schema)
+    keyed.start(keyed.metric_records(stream), "event_time", root).awaitTermination()
+    return present(stages.output(spark, root, schemas.METRICS_FLATTENED))
 
 
 @query
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric rows as a stream to the alerts of the window and correlation rules."""
     table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
-    root, _ = _run(jobs.rules_stage(), table, "event_time")
+    source, root = scratch_path(spark, "rules_in"), scratch_path(spark, "rules")
+    _feed(
+        [(table, "event_time", source)],
+        lambda: stages.start(jobs.rules_stage(), tables.stream_table(spark, source, table.schema), root),
+    )
     return present(stages.output(spark, root, schemas.ALERTS).drop("context"))
 
 
 @query
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fiftieth poll sent again after the watermark has passed it: dropped and counted."""
-    polls = inputs.polled(spark, sf_dir).drop("partitions")
-    stage = jobs.settled_stage("late_rows")
-    root, source = _run(stage, polls, "event_time")
-    late = polls.where(inputs.epoch("event_time") % 500 == 0)
-    late.write.mode("append").parquet(source)
-    again = stages.start(stage, tables.stream_table(spark, source, polls.schema), root)
-    again.awaitTermination()
-    dropped = jobs.dropped_rows(again)
-    rows = stages.output(spark, root, polls.schema)
-    return rows.agg(F.count(F.lit(1)).alias("settled")).withColumn(
-        "dropped", F.lit(dropped).cast("long")
-    )
+    """Every fiftieth poll sent again seven times: kept apart, unless still within the delay."""
+    polls = inputs.polled(spark, sf_dir)
+    source, root = scratch_path(spark, "late_in"), scratch_path(spark, "late")
+    again = polls.where(inputs.epoch("event_time") % 500 == 0)
+    for part in (polls, again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(7)))).drop("_copy")):
+        part.write.mode("append").parquet(source)
+        keyed.split_late(tables.stream_table(spark, source, polls.schema), "event_time", root).awaitTermination()
+    settled = stages.output(spark, root, polls.schema).agg(F.count(F.lit(1)).alias("settled"))
+    late = stages.output(spark, root, polls.schema, "late").agg(F.count(F.lit(1)).alias("dropped"))
+    return settled.select("settled", late.scalar().alias("dropped"))
+
+
+@query
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts and enrichments as streams: each alert once, with its newest enrichment of ten minutes."""
+    found = stage_table(inputs.alerts(spark, sf_dir), "alerts")
+    enriched = stage_table(inputs.enriched_alerts(found), "enriched_alerts")
+    left, right, root = (scratch_path(spark, n) for n in ("alerts_in", "enriched_in", "enriched"))
+
+    def begin() -> StreamingQuery:
+        rows = keyed.newest_enrichment(
+            tables.stream_table(spark, left, found.schema), tables.stream_table(spark, right, enriched.schema)
+        )
+        return keyed.start(rows, "alert_time", root)
+
+    _feed([(found, "alert_time", left), (enriched, "timestamp", right)], begin)
+    return open_context(stages.output(spark, root, keyed.ENRICHED), LAG_UP_CONTEXT)
+
+
+@query
+def stream_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compacted table as its stream of changes leaves it."""
+    log = stage_table(inputs.agent_memory(spark, sf_dir, time=True), "agent_memory")
+    source, root = scratch_path(spark, "memory_in"), scratch_path(spark, "memory")
+
+    def begin() -> StreamingQuery:
+        return keyed.start(keyed.compacted(tables.stream_table(spark, source, log.schema), "time"), "time", root)
+
+    _feed([(log, "time", source)], begin)
+    return alerts.compact(stages.output(spark, root, keyed.CHANGES).drop("time"))

@@ -158,14 +158,15 @@ def alert_feedback(found: DataFrame) -> DataFrame:
     )
 
 
-def agent_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed log; every seventeenth record is a delete."""
+def agent_memory(spark: SparkSession, sf_dir: str, time: bool = False) -> DataFrame:
+    """Keyed log; every seventeenth record is a delete. ``time`` adds when it was written."""
     g = F.col("user_id") % 12
     return events(spark, sf_dir).select(
         _group(g).alias("key"),
         F.when(F.col("event_id") % 17 != 0, F.col("props")).alias("value"),
         (g % 6).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
+        *([F.col("ts").alias("time")] if time else []),
     )
 
 

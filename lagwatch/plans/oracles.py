@@ -206,6 +206,14 @@ _ALERT = (
         "anomaly_score",
     )
 )
+_LAG_CONTEXT = (
+    r4(half_up("CAST(current_lag AS DOUBLE) / lag_24h_avg")) + " AS ctx_lag_vs_avg_ratio, "
+    f"current_lag AS ctx_actual_lag, {r4('lag_24h_avg')} AS ctx_lag_24h_avg, "
+    f"{r4('lag_velocity')} AS ctx_lag_velocity, CAST(10 AS INTEGER) AS ctx_window_size_minutes, "
+    "'THRESHOLD' AS ctx_model_type"
+)
+#: A stream holds back the rows that its watermark has not passed.
+_PASSED = "event_time <= (SELECT max(event_time) - INTERVAL 30 SECONDS FROM metrics)"
 _ALERT_COLUMNS = (
     "alert_id, alert_time, detection_type, severity, cluster_id, consumer_group, topic, "
     "current_lag, read_speed, write_speed, time_to_catchup_seconds, partition_skew_score, "
@@ -275,11 +283,7 @@ def _bodies() -> dict[str, str]:
       partition_count, is_falling_behind FROM formatted"""
     q["lag_velocity_rate"] = f"SELECT {_TIMED}, {r4('rate')} AS lag_velocity FROM formatted"
 
-    q["threshold_lag_up"] = f"""SELECT {_ALERT},
-      {r4(half_up('CAST(current_lag AS DOUBLE) / lag_24h_avg'))} AS ctx_lag_vs_avg_ratio,
-      current_lag AS ctx_actual_lag, {r4('lag_24h_avg')} AS ctx_lag_24h_avg,
-      {r4('lag_velocity')} AS ctx_lag_velocity, CAST(10 AS INTEGER) AS ctx_window_size_minutes,
-      'THRESHOLD' AS ctx_model_type FROM alerts"""
+    q["threshold_lag_up"] = f"SELECT {_ALERT}, {_LAG_CONTEXT} FROM alerts"
     q["threshold_lag_spike"] = f"""SELECT {_ALERT},
       'Consumer lag exceeded 10K messages: ' || current_lag AS context FROM spikes"""
     q["threshold_inactive"] = f"""SELECT {_ALERT}, idle_seconds AS ctx_inactive_duration_seconds,
@@ -335,11 +339,11 @@ def _bodies() -> dict[str, str]:
       UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""
 
     q["alerts_enriched"] = f"""SELECT {_ALERT.replace('severity', 'coalesce(es, severity) AS severity')},
-      diagnosis, recommended_action, metric_details, {iso('"timestamp"')} AS "timestamp"
+      {_LAG_CONTEXT}, diagnosis, recommended_action, metric_details, {iso('"timestamp"')} AS "timestamp"
       FROM alerts LEFT JOIN (SELECT alert_id, diagnosis, severity AS es, recommended_action,
           metric_details, "timestamp",
           row_number() OVER (PARTITION BY alert_id ORDER BY v DESC) AS r FROM enriched) e
-      USING (alert_id) WHERE r IS NULL OR r = 1"""
+      USING (alert_id) WHERE (r IS NULL OR r = 1)"""
     q["alerts_correlated"] = f"""SELECT topic, {iso('alert_time')} AS alert_time, recent_alerts,
       correlated_groups, 'same_topic_degradation' AS correlation_type,
       'broker_or_producer_issue' AS root_cause_probability,
@@ -349,7 +353,7 @@ def _bodies() -> dict[str, str]:
         FROM (SELECT DISTINCT topic, alert_time FROM alerts) t JOIN alerts a ON a.topic = t.topic
           AND a.alert_time BETWEEN t.alert_time - INTERVAL 5 MINUTES AND t.alert_time
         GROUP BY ALL) WHERE recent_alerts >= 3"""
-    q["alerts_first_in_bucket"] = f"""SELECT {_ALERT} FROM (
+    q["alerts_first_in_bucket"] = f"""SELECT {_ALERT}, {_LAG_CONTEXT} FROM (
       SELECT *, row_number() OVER (PARTITION BY detection_type, consumer_group,
         (epoch_us(alert_time) // 1000000) // 300 ORDER BY alert_time, alert_id) AS r FROM alerts)
       WHERE r = 1"""
@@ -431,16 +435,17 @@ def _bodies() -> dict[str, str]:
     q["telemetry_series"] = f"""SELECT topic, string_agg(({iso('bucket')}) || '=' ||
       CAST(received_bytes AS BIGINT), ',' ORDER BY bucket) AS received_bytes FROM hourly
       GROUP BY topic"""
-    q["stream_metrics"] = f"""SELECT {_TIMED}, cluster_id, topic, current_lag,
-      {_doubles('read_speed', 'write_speed', 'time_to_catchup_seconds', 'partition_skew_score',
-                'lag_24h_avg', 'lag_velocity', 'speed_ratio')},
-      partition_count, is_falling_behind FROM metrics"""
-    q["stream_metric_record"] = q["group_metrics"]
+    q["stream_metrics"] = f"{q['group_metrics']} WHERE {_PASSED}"
+    q["stream_metric_record"] = q["stream_metrics"]
     q["stream_rules"] = f"""SELECT {_ALERT} FROM (
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive
-      UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""
-    q["stream_late_rows"] = """SELECT count(*) AS settled,
-      count(*) FILTER (WHERE tick % 50 = 0) AS dropped FROM metrics"""
+      UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr) found
+      WHERE found.{_PASSED.replace('event_time <=', 'alert_time <=')}"""
+    q["stream_late_rows"] = f"""SELECT count(*) + 7 * count(*) FILTER (WHERE tick % 50 = 0 AND NOT {_PASSED})
+      AS settled, 7 * count(*) FILTER (WHERE tick % 50 = 0 AND {_PASSED}) AS dropped FROM metrics"""
+    q["stream_enriched"] = q["alerts_enriched"] + """ AND alerts.alert_time <= greatest(
+      (SELECT max(alert_time) FROM alerts), (SELECT max("timestamp") FROM enriched)) - INTERVAL 610 SECONDS"""
+    q["stream_compact"] = q["compact_latest"]
     return q
 
 

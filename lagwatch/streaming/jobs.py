@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lagwatch import schemas
-from lagwatch.operators import alerts, baseline, correlate, feeds, forecast, rollup, rules
+from lagwatch.operators import alerts, correlate, feeds, forecast, rules
 from lagwatch.streaming.stages import Stage
 
 #: What the rules read of a metric record.
@@ -18,30 +17,6 @@ FLAT_COLUMNS = (
 )
 
 
-FLAT_SCHEMA = schemas.METRICS_FLATTENED
-
-
-def _flat(polls: DataFrame) -> DataFrame:
-    collected = baseline.lag_percentile(baseline.collect_metrics(polls))
-    return collected.select(*FLAT_SCHEMA.fieldNames())
-
-
-def metrics_stage() -> Stage:
-    """Partition samples to metric rows: 24 hours of history and the previous poll of a group."""
-    return Stage(
-        name="metrics",
-        keys=("cluster_id", "consumer_group", "topic", "partition_id"),
-        time="poll_time",
-        prepare=rollup.group_rollup,
-        transform=_flat,
-        history_keys=("cluster_id", "consumer_group"),
-        history_time="event_time",
-        out_time="event_time",
-        lookback=baseline.WINDOW_SECONDS,
-        tail=1,
-    )
-
-
 def _all_rules(metrics: DataFrame) -> DataFrame:
     by_group = rules.detect(
         metrics, [rules.lag_up_rule(), rules.inactive_rule(), rules.rebalance_rule()]
@@ -102,30 +77,6 @@ def deduplicated(stream: DataFrame, key: str = "alert_id", time: str = "alert_ti
     return stream.withWatermark(time, "10 seconds").dropDuplicatesWithinWatermark([key])
 
 
-def enriched_feed(
-    alert_stream: DataFrame, enriched_stream: DataFrame, within: str = "10 minutes"
-) -> DataFrame:
-    """Alerts left-joined with enrichments that follow within a time bound.
-
-    The bound lets the join's state expire; an alert without enrichment is handed on when the
-    watermark has passed the bound.
-    """
-    left = alert_stream.withWatermark("alert_time", "10 seconds").alias("a")
-    right = (
-        enriched_stream.withWatermark("timestamp", "10 seconds")
-        .withColumnsRenamed({"severity": "e_severity", "alert_id": "e_alert_id"})
-        .alias("e")
-    )
-    bound = F.expr(
-        "a.alert_id = e.e_alert_id AND e.timestamp >= a.alert_time "
-        f"AND e.timestamp <= a.alert_time + INTERVAL {within}"
-    )
-    joined = left.join(right, bound, "left_outer")
-    return joined.withColumn(
-        "severity", F.coalesce(F.col("e_severity"), F.col("severity"))
-    ).drop("e_severity", "e_alert_id")
-
-
 def feed_stats(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Running event count and time of the last event, in complete mode."""
     def replace(df: DataFrame, _: int) -> None:
@@ -139,12 +90,3 @@ def feed_stats(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
-
-
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped, over all batches the query reports."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )

@@ -18,7 +18,7 @@ run again after a failure leaves the same files: with the checkpoint, exactly on
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -88,9 +88,9 @@ def start(stage: Stage, stream: DataFrame, root: str, trigger: str | None = None
     return writer.trigger(**timing).start()
 
 
-def output(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def output(spark: SparkSession, root: str, schema: T.StructType, table: str = "out") -> DataFrame:
     """The stage's output table, empty if nothing was found yet."""
-    found = _read_dated(spark, f"{root}/out", "_date=*", schema)
+    found = read_dated(spark, f"{root}/{table}", "_date=*", schema)
     return spark.createDataFrame([], schema) if found is None else found.drop("_date", "_batch")
 
 
@@ -98,8 +98,8 @@ def _compute(stage: Stage, root: str, settled: DataFrame, batch: int) -> None:
     spark = configure(settled.sparkSession)
     prepared = stage.prepare(settled)
     schema, history = prepared.schema, f"{root}/history"
-    _write_dated(prepared, stage.history_time, history, batch)
-    new = _read_dated(spark, history, f"_date=*/_batch={batch}", schema)
+    write_dated(prepared, stage.history_time, history, batch)
+    new = read_dated(spark, history, f"_date=*/_batch={batch}", schema)
     if new is None:
         _write_tail(stage, root, spark.createDataFrame([], schema), batch)
         return
@@ -111,7 +111,7 @@ def _compute(stage: Stage, root: str, settled: DataFrame, batch: int) -> None:
     context = new
     if stage.lookback:
         dates = ",".join(_dates(since, high))
-        earlier = _read_dated(spark, history, f"_date={{{dates}}}", schema).where(
+        earlier = read_dated(spark, history, f"_date={{{dates}}}", schema).where(
             (F.col("_batch") < batch) & (F.col(stage.history_time) >= _moment(since))
         )
         context = context.unionByName(earlier.drop("_date", "_batch"))
@@ -121,7 +121,7 @@ def _compute(stage: Stage, root: str, settled: DataFrame, batch: int) -> None:
             older = older.where(F.col(stage.history_time) < _moment(since))
         context = context.unionByName(older)
     found = stage.transform(context).where(F.col(stage.out_time) >= _moment(low))
-    _write_dated(found, stage.out_time, f"{root}/out", batch)
+    write_dated(found, stage.out_time, f"{root}/out", batch)
     _write_tail(stage, root, new, batch)
 
 
@@ -135,7 +135,7 @@ def _dates(first: int, last: int) -> list[str]:
     return [str(begin + timedelta(days=i)) for i in range((end - begin).days + 1)]
 
 
-def _write_dated(df: DataFrame, time: str, path: str, batch: int) -> None:
+def write_dated(df: DataFrame, time: str, path: str, batch: int) -> None:
     """Replace the rows of this batch; dates first, so that look-backs list few directories."""
     dated = df.withColumn("_date", F.to_date(time)).withColumn("_batch", F.lit(batch).cast("long"))
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -143,7 +143,7 @@ def _write_dated(df: DataFrame, time: str, path: str, batch: int) -> None:
     ).parquet(path)
 
 
-def _read_dated(
+def read_dated(
     spark: SparkSession, path: str, pattern: str, schema: T.StructType
 ) -> DataFrame | None:
     """Rows of the directories that match, None if there are none."""
@@ -175,18 +175,3 @@ def _write_tail(stage: Stage, root: str, new: DataFrame, batch: int) -> None:
         ranked = known.withColumn("_rank", F.row_number().over(newest))
         kept = ranked.where(F.col("_rank") <= stage.tail).drop("_rank")
     kept.write.mode("overwrite").parquet(f"{root}/tail/{batch}")
-
-
-def replay(table: DataFrame, time: str, path: str, steps: int) -> Iterator[int]:
-    """Append a table to a folder in event-time order, one step at a time.
-
-    The caller runs its query after every step: files of one step carry no order among each
-    other, so a step has to be read as a whole before the next one moves the watermark on.
-    """
-    low, high = table.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first()
-    width = (high - low) // steps + 1
-    for step in range(steps):
-        begin = low + step * width
-        part = table.where(F.unix_micros(time).between(begin, begin + width - 1))
-        part.write.mode("append").parquet(path)
-        yield step

@@ -41,20 +41,6 @@ def metrics(samples):
     return baseline.collect_metrics(rollup.group_rollup(samples)).select(*jobs.FLAT_COLUMNS).cache()
 
 
-@pytest.mark.parametrize("files", [1, 5])
-def test_metrics_stream_equals_batch(spark, tmp_path, samples, metrics, files):
-    source, root = str(tmp_path / "in"), str(tmp_path / "out")
-    shuffled = samples.withColumn("_order", F.unix_seconds("poll_time") + F.rand(1) * 20)
-    slices = shuffled.withColumn("_slice", F.ntile(files).over(stages.Window.orderBy("_order")))
-    slices = slices.cache()
-    for i in range(1, files + 1):
-        append(slices.where(F.col("_slice") == i).drop("_slice", "_order"), source)
-        append(samples.where("poll_time = '2024-01-01 00:00:10'"), source)  # repeated or late
-    append(samples.limit(1).withColumn("poll_time", flush()), source)
-    run(jobs.metrics_stage(), spark, source, samples.schema, root, per_trigger=2)
-    assert same(metrics, stages.output(spark, root, jobs.FLAT_SCHEMA))
-
-
 def test_rules_stream_restarts(spark, tmp_path, metrics):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
     for low, high in ((0, 400), (400, 10**9)):
@@ -95,16 +81,6 @@ def test_failed_batch_is_replaced(spark, tmp_path, metrics):
     assert same(metrics, stages.output(spark, root, metrics.schema))
 
 
-def test_late_rows_are_counted(spark, tmp_path, metrics):
-    source, root = str(tmp_path / "in"), str(tmp_path / "out")
-    append(metrics, source)
-    stage = jobs.settled_stage("late")
-    run(stage, spark, source, metrics.schema, root)
-    append(metrics.where(F.col("event_time") <= F.lit(at(50))), source)
-    again = run(stage, spark, source, metrics.schema, root)
-    assert jobs.dropped_rows(again) == 10
-
-
 def test_feed_stats_and_deduplication(spark, tmp_path):
     source = str(tmp_path / "in")
     df = spark.createDataFrame([("a", at(1)), ("a", at(1)), ("b", at(2))], "alert_id string, alert_time timestamp")
@@ -122,26 +98,3 @@ def test_feed_stats_and_deduplication(spark, tmp_path):
         availableNow=True
     ).start(path).awaitTermination()
     assert sorted(r.alert_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
-
-
-def test_enriched_feed(spark, tmp_path):
-    alert = "alert_id string, severity string, alert_time timestamp"
-    more = "alert_id string, diagnosis string, severity string, timestamp timestamp"
-    left = spark.createDataFrame(
-        [("a", "info", at(0)), ("b", "info", at(1)), ("z", "info", at(90_000))], alert
-    )
-    right = spark.createDataFrame(
-        [("a", "found", "HIGH", at(60)), ("z", "x", None, at(90_000))], more
-    )
-    a, e, out = (str(tmp_path / n) for n in "aeo")
-    append(left, a)
-    append(right, e)
-    joined = jobs.enriched_feed(
-        tables.stream_table(spark, a, left.schema), tables.stream_table(spark, e, right.schema)
-    )
-    joined.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
-        availableNow=True
-    ).start(out).awaitTermination()
-    rows = {r.alert_id: (r.severity, r.diagnosis) for r in spark.read.parquet(out).collect()}
-    assert rows["a"] == ("HIGH", "found")
-    assert rows["b"] == ("info", None)
