@@ -127,12 +127,23 @@ def correlation(
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    affected, total = F.col("affected_groups"), F.col("total_groups")
+    affected = F.col("affected_groups")
     counted = (
         summed.withColumn("affected_groups", F.sum("_da").over(upto))
         .withColumn("total_groups", F.sum("_dt").over(upto))
         .where(F.col("alert_time").isNotNull() & (affected >= min_groups))
     )
+    found = topic_alerts(counted)
+    if gate == "first_in_bucket":
+        from lagwatch.operators.alerts import first_in_bucket
+
+        return first_in_bucket(found, bucket, ["detection_type", "cluster_id", "topic"])
+    return found
+
+
+def topic_alerts(counted: DataFrame) -> DataFrame:
+    """Alerts of the moments at which enough groups of a topic were degraded."""
+    affected, total = F.col("affected_groups"), F.col("total_groups")
     shared = affected >= total * 0.8
     cause = F.when(shared, texts.CAUSE_SHARED).otherwise(texts.CAUSE_MIXED)
     values = {
@@ -148,14 +159,9 @@ def correlation(
             recommendation=F.lit(texts.CORRELATION_ADVICE),
         ),
     }
-    found = counted.select(
+    return counted.select(
         *[
             values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
             for f in schemas.ALERTS
         ]
     )
-    if gate == "first_in_bucket":
-        from lagwatch.operators.alerts import first_in_bucket
-
-        return first_in_bucket(found, bucket, ["detection_type", "cluster_id", "topic"])
-    return found

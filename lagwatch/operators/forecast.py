@@ -173,3 +173,8 @@ def forecast_hot_partition(metrics: DataFrame, algorithm: str = "ARIMA", **param
     )
     where = (skew > predicted) & (skew > 2.0)
     return detect(scored, [_rule("arima_hot_partition", where, context)])
+
+
+def forecast_alerts(metrics: DataFrame, **parameters) -> list[DataFrame]:
+    """The three forecast rules over one table."""
+    return [rule(metrics, **parameters) for rule in (forecast_lag_up, forecast_speed_down, forecast_hot_partition)]

@@ -224,17 +224,20 @@ def moving_avg_spike(
     rows: int = 100,
     factor: float = 2,
     keys: Sequence[str] = GROUP,
-    detection_type: str = "CPU_SPIKE",
+    detection_type: str | None = None,
     block: int = 4096,
 ) -> DataFrame:
-    """Any measure above ``factor`` times its mean of the last ``rows`` rows and itself."""
+    """Any measure above ``factor`` times its mean of the last ``rows`` rows and itself.
+
+    Unless named, the detection type is that of the measure: a spike of ``cpu`` is a CPU_SPIKE.
+    """
     numbered = tl.number_by_time(metrics.select(*keys, "event_time", value), keys, "event_time")
     spread = tl.spread_rows(numbered, tl.ROW, block, rows)
     window = tl.Window.partitionBy(*keys, tl.CHUNK).orderBy(tl.ROW).rowsBetween(-rows, 0)
     averaged = spread.withColumn("moving_avg", F.avg(value).over(window))
     return tl.own_rows(averaged, tl.ROW).where(F.col(value) > F.col("moving_avg") * factor).select(
         *keys,
-        F.lit(detection_type).alias("detection_type"),
+        F.lit(detection_type or f"{value.upper()}_SPIKE").alias("detection_type"),
         F.lit("critical").alias("severity"),
         F.col(value).cast("string").alias("metric_value"),
         F.col(value).alias("value"),

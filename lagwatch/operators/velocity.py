@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagwatch import schemas
 from lagwatch.functions.expr import non_negative, or_zero, ratio_or
 from lagwatch.operators import timeline as tl
 
@@ -95,19 +96,9 @@ def group_speeds(
     return out.withColumn("time_to_catchup_seconds", catchup)
 
 
-FORMATTED = (
-    "event_time",
-    "cluster_id",
-    "consumer_group",
-    "topic",
-    "current_lag",
-    "read_speed",
-    "write_speed",
-    "time_to_catchup_seconds",
-    "partition_skew_score",
-    "lag_24h_avg",
-    "lag_percentile_95_24h",
-    "partition_count",
+#: Columns of a raw record that the flattened record keeps.
+FORMATTED = tuple(
+    c for c in schemas.METRICS_FLATTENED.fieldNames() if c not in ("lag_velocity", "speed_ratio", "is_falling_behind")
 )
 
 

@@ -60,9 +60,12 @@ FORECAST_SKEW_CONTEXT = (
     "recommendation string, model_type string"
 )
 
+# Parameters under which speeds and skews of the derived tables are found; all_alerts has the published ones.
+SENSITIVE = {"training_window": 20, "threshold": 0.1}
+
 CONFIGURED_RULES = [
-    {"detector": "custom_lag", "measure": "current_lag", "enabled": True,
-     "critical": 10_000, "high": 5_000},
+    {"detector": "deep_backlog", "measure": "current_lag", "enabled": True,
+     "critical": 7_500, "high": 3_200},
     {"detector": "fast_growth", "measure": "lag_velocity", "enabled": True,
      "critical": 2_000, "high": 1_000},
     {"detector": "skew", "measure": "partition_skew_score", "enabled": True,
@@ -329,6 +332,18 @@ def zscore_lag_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_context(found, FORECAST_LAG_CONTEXT)
 
 
+@query
+def zscore_speed_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forecast.forecast_speed_down(inputs.metrics(spark, sf_dir), "ZSCORE", **SENSITIVE)
+    return open_context(found, FORECAST_SPEED_CONTEXT)
+
+
+@query
+def zscore_hot_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forecast.forecast_hot_partition(inputs.metrics(spark, sf_dir), "ZSCORE", **SENSITIVE)
+    return open_context(found, FORECAST_SKEW_CONTEXT)
+
+
 @query
 def forecast_lag_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_context(
@@ -352,13 +367,18 @@ def forecast_hot_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Group rules in one pass and the topic rule, over one written metrics table."""
+    """Group rules in one pass, the topic rule and the forecast rules, over one written metrics table.
+
+    The forecasts run with the algorithm that SQL can state.
+    """
     table = stage_table(inputs.metrics(spark, sf_dir), "metrics_flattened")
     by_group = rules.detect(
         table,
         [rules.lag_up_rule(), rules.lag_spike_rule(), rules.inactive_rule(), rules.rebalance_rule()],
     )
-    merged = alerts.all_alerts(by_group, correlate.correlation(table))
+    merged = alerts.all_alerts(
+        by_group, correlate.correlation(table), *forecast.forecast_alerts(table, algorithm="ZSCORE")
+    )
     return present(merged.drop("context"))
 
 
@@ -533,22 +553,25 @@ def telemetry_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------------------------
 
-def _halves(table: DataFrame, time: str) -> list[DataFrame]:
-    """The earlier and the later half of the table's span."""
+def _halves(table: DataFrame, time: str, late: int) -> list[DataFrame]:
+    """The rows that arrive earlier and later, if each arrives up to ``late`` seconds after its time."""
     micros = F.unix_micros(time)
     low, high = table.agg(F.min(micros), F.max(micros)).first()
     if low is None:
         return [table]
-    early = micros <= (low + high) // 2
+    arrives = micros + F.pmod(F.xxhash64(*table.columns), F.lit(late * 1_000_000))
+    early = arrives <= (low + high) // 2
     return [table.where(early), table.where(~early)]
 
 
-def _feed(tables_by_time: list[tuple[DataFrame, str, str]], begin: Callable[[], StreamingQuery]) -> None:
-    """Give a query its input in two parts, in event-time order: it ends after the first and is resumed.
+def _feed(
+    tables_by_time: list[tuple[DataFrame, str, str]], begin: Callable[[], StreamingQuery], late: int = 20
+) -> None:
+    """Give a query its input in two parts: it ends after the first and is resumed.
 
-    Rows of the last watermark delay stay in the state, as they would on a stream that goes on.
+    Rows are out of order by up to ``late`` seconds. Rows of the last watermark delay stay in the state, as they would on a stream that goes on.
     """
-    for parts in zip(*[_halves(table, time) for table, time, _ in tables_by_time], strict=True):
+    for parts in zip(*[_halves(table, time, late) for table, time, _ in tables_by_time], strict=True):
         for part, (_, _, source) in zip(parts, tables_by_time, strict=True):
             part.write.mode("append").parquet(source)
         begin().awaitTermination()
@@ -591,6 +614,20 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stages.output(spark, root, schemas.ALERTS).drop("context"))
 
 
+@query
+def stream_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows as a stream to the alerts of the correlation rule, counted in keyed state."""
+    table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
+    source, root = scratch_path(spark, "correlation_in"), scratch_path(spark, "correlation")
+
+    def begin() -> StreamingQuery:
+        stream = tables.stream_table(spark, source, table.schema)
+        return keyed.start(keyed.correlation(stream), "alert_time", root)
+
+    _feed([(table, "event_time", source)], begin)
+    return open_context(stages.output(spark, root, schemas.ALERTS), CORRELATION_CONTEXT)
+
+
 @query
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fiftieth poll sent again seven times: kept apart, unless still within the delay."""
@@ -618,7 +655,7 @@ def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return keyed.start(rows, "alert_time", root)
 
-    _feed([(found, "alert_time", left), (enriched, "timestamp", right)], begin)
+    _feed([(found, "alert_time", left), (enriched, "timestamp", right)], begin, late=8)
     return open_context(stages.output(spark, root, keyed.ENRICHED), LAG_UP_CONTEXT)
 
 

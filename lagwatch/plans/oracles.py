@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from lagwatch.functions import texts
+
 
 def r4(value: str, decimals: int = 4) -> str:
     return f"floor(({value}) * 1e{decimals} + 0.5) / 1e{decimals}"
@@ -24,6 +26,20 @@ def iso(time: str) -> str:
     )
 
 
+def zscore(kind: str, value: str, trained: str, rows: int, threshold: float, where: str) -> str:
+    """Rows whose ``value`` is far from the mean of the ``rows`` rows before it."""
+    return f"""SELECT *, event_time AS alert_time, '{kind}' AS detection_type,
+        '{kind}_' || consumer_group || '_' || CAST(epoch_us(event_time) // 1000000 AS VARCHAR) AS alert_id,
+        CASE WHEN anomaly_score > 0.8 THEN 'critical' WHEN anomaly_score > 0.5 THEN 'warning'
+          ELSE 'info' END AS severity FROM (
+        SELECT *, CASE WHEN s = 0 THEN CASE WHEN {value} = m THEN 0.0 ELSE 1.0 END
+          ELSE least(abs({value} - m) / s / 6.0, 1.0) END AS anomaly_score FROM (
+          SELECT *, count(*) OVER w AS seen, avg({value}) OVER w AS m, stddev_samp({value}) OVER w AS s
+          FROM metrics WHERE {trained} WINDOW w AS (PARTITION BY consumer_group ORDER BY event_time
+            ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)) WHERE seen = {rows})
+      WHERE anomaly_score > {threshold} AND {where}"""
+
+
 _CTES = {
     "ev": "SELECT *, user_id % 12 AS g FROM events",
     "num": "SELECT g, value, row_number() OVER (PARTITION BY g ORDER BY ts, event_id) AS n FROM ev",
@@ -114,6 +130,25 @@ _CTES = {
           RANGE BETWEEN INTERVAL 3 MINUTES PRECEDING AND CURRENT ROW))
       WHERE zeros >= 3 AND (variance > mean * 0.5 OR mean = 0)
         AND (epoch_us(event_time) // 1000000) % 180 < 10""",
+    "zlag": zscore(
+        "arima_lag_up", "current_lag", "current_lag > 0", 100, 0.5, "lag_velocity > 0 AND current_lag > 1000"
+    ),
+    "zspeed": zscore(
+        "arima_speed_down", "read_speed", "read_speed > 0", 100, 0.5,
+        "read_speed < m AND (m - read_speed) / m > 0.2",
+    ),
+    "zskew": zscore(
+        "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 80, 0.6,
+        "partition_skew_score > m AND partition_skew_score > 2.0",
+    ),
+    "lowspeed": zscore(
+        "arima_speed_down", "read_speed", "read_speed > 0", 20, 0.1,
+        "read_speed < m AND (m - read_speed) / m > 0.2",
+    ),
+    "lowskew": zscore(
+        "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 20, 0.1,
+        "partition_skew_score > m AND partition_skew_score > 2.0",
+    ),
     "topics": """SELECT *, count(DISTINCT consumer_group) FILTER (WHERE is_falling_behind
         OR lag_velocity > 100 OR read_speed < lag_24h_avg * 0.5) OVER w AS affected,
       count(DISTINCT consumer_group) OVER w AS total
@@ -304,7 +339,7 @@ def _bodies() -> dict[str, str]:
         ELSE 'Mixed issue - check both producer and consumer health' END AS ctx_root_cause,
       'Investigate topic write throughput, broker metrics, and producer health'
         AS ctx_recommendation FROM corr"""
-    q["moving_avg_spike"] = f"""SELECT {_TIMED}, 'CPU_SPIKE' AS detection_type,
+    q["moving_avg_spike"] = f"""SELECT {_TIMED}, 'READ_SPEED_SPIKE' AS detection_type,
       'critical' AS severity, {r4('read_speed', 7)} AS value, {r4('m', 7)} AS moving_avg FROM (
         SELECT *, avg(read_speed) OVER (PARTITION BY consumer_group ORDER BY event_time
           ROWS BETWEEN 100 PRECEDING AND CURRENT ROW) AS m FROM metrics)
@@ -314,29 +349,28 @@ def _bodies() -> dict[str, str]:
       FROM (SELECT *, 'current_lag' AS measure, CAST(current_lag AS DOUBLE) AS value FROM metrics
         UNION ALL SELECT *, 'lag_velocity', lag_velocity FROM metrics
         UNION ALL SELECT *, 'partition_skew_score', partition_skew_score FROM metrics)
-      JOIN (VALUES ('custom_lag', 'current_lag', 10000, 5000),
+      JOIN (VALUES ('deep_backlog', 'current_lag', 7500, 3200),
         ('fast_growth', 'lag_velocity', 2000, 1000), ('skew', 'partition_skew_score', 2.5, 2.0))
         AS rules(detector, measure, critical, high) USING (measure) WHERE value > high"""
-    q["zscore_lag_up"] = f"""SELECT {_ALERT.replace('detection_type', "'arima_lag_up' AS detection_type")},
-      {r4('m')} AS ctx_predicted_lag, current_lag AS ctx_actual_lag,
-      {r4(half_up('abs(current_lag - m) / m * 100'))} AS ctx_deviation_percent,
-      {r4('lag_velocity')} AS ctx_lag_velocity, CAST(10 AS INTEGER) AS ctx_window_size_minutes,
-      'ZSCORE' AS ctx_model_type FROM (
-        SELECT *, event_time AS alert_time, 'arima_lag_up_' || consumer_group || '_' ||
-            CAST(epoch_us(event_time) // 1000000 AS VARCHAR) AS alert_id,
-          CASE WHEN anomaly_score > 0.8 THEN 'critical' WHEN anomaly_score > 0.5 THEN 'warning'
-            ELSE 'info' END AS severity FROM (
-          SELECT *, CASE WHEN s = 0 THEN CASE WHEN current_lag = m THEN 0.0 ELSE 1.0 END
-            ELSE least(abs(current_lag - m) / s / 6.0, 1.0) END AS anomaly_score FROM (
-            SELECT *, count(*) OVER w AS seen, avg(current_lag) OVER w AS m,
-              stddev_samp(current_lag) OVER w AS s FROM metrics WHERE current_lag > 0
-            WINDOW w AS (PARTITION BY consumer_group ORDER BY event_time
-              ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING)) WHERE seen = 100))
-      WHERE anomaly_score > 0.5 AND lag_velocity > 0 AND current_lag > 1000"""
+    def miss(value: str) -> str:
+        return f"{r4(half_up(f'abs({value} - m) / m * 100'))} AS ctx_deviation_percent"
+
+    q["zscore_lag_up"] = f"""SELECT {_ALERT}, {r4('m')} AS ctx_predicted_lag,
+      current_lag AS ctx_actual_lag, {miss('current_lag')}, {r4('lag_velocity')} AS ctx_lag_velocity,
+      CAST(10 AS INTEGER) AS ctx_window_size_minutes, 'ZSCORE' AS ctx_model_type FROM zlag"""
+    q["zscore_speed_down"] = f"""SELECT {_ALERT}, {r4('m')} AS ctx_predicted_speed,
+      {r4('read_speed')} AS ctx_actual_speed, {miss('read_speed')},
+      {r4('speed_ratio')} AS ctx_speed_ratio, is_falling_behind AS ctx_is_falling_behind,
+      'ZSCORE' AS ctx_model_type FROM lowspeed"""
+    q["zscore_hot_partition"] = f"""SELECT {_ALERT}, {r4('m')} AS ctx_predicted_skew,
+      {r4('partition_skew_score')} AS ctx_actual_skew, {miss('partition_skew_score')},
+      partition_count AS ctx_partition_count, '{texts.HOT_PARTITION_ADVICE}' AS ctx_recommendation,
+      'ZSCORE' AS ctx_model_type FROM lowskew"""
     q["all_alerts"] = f"""SELECT {_ALERT} FROM (
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM spikes
       UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive UNION ALL SELECT {_ALERT_COLUMNS} FROM storms
-      UNION ALL SELECT {_ALERT_COLUMNS} FROM corr)"""
+      UNION ALL SELECT {_ALERT_COLUMNS} FROM corr UNION ALL SELECT {_ALERT_COLUMNS} FROM zlag
+      UNION ALL SELECT {_ALERT_COLUMNS} FROM zspeed UNION ALL SELECT {_ALERT_COLUMNS} FROM zskew)"""
 
     q["alerts_enriched"] = f"""SELECT {_ALERT.replace('severity', 'coalesce(es, severity) AS severity')},
       {_LAG_CONTEXT}, diagnosis, recommended_action, metric_details, {iso('"timestamp"')} AS "timestamp"
@@ -441,6 +475,7 @@ def _bodies() -> dict[str, str]:
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive
       UNION ALL SELECT {_ALERT_COLUMNS} FROM storms UNION ALL SELECT {_ALERT_COLUMNS} FROM corr) found
       WHERE found.{_PASSED.replace('event_time <=', 'alert_time <=')}"""
+    q["stream_correlation"] = f"{q['correlation']} WHERE corr.{_PASSED.replace('event_time <=', 'alert_time <=')}"
     q["stream_late_rows"] = f"""SELECT count(*) + 7 * count(*) FILTER (WHERE tick % 50 = 0 AND NOT {_PASSED})
       AS settled, 7 * count(*) FILTER (WHERE tick % 50 = 0 AND {_PASSED}) AS dropped FROM metrics"""
     q["stream_enriched"] = q["alerts_enriched"] + """ AND alerts.alert_time <= greatest(

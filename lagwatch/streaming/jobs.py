@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lagwatch import schemas
 from lagwatch.operators import alerts, correlate, feeds, forecast, rules
 from lagwatch.streaming.stages import Stage
 
 #: What the rules read of a metric record.
-FLAT_COLUMNS = (
-    "event_time", "cluster_id", "consumer_group", "topic", "current_lag", "read_speed",
-    "write_speed", "time_to_catchup_seconds", "partition_skew_score", "lag_24h_avg",
-    "partition_count", "lag_velocity", "speed_ratio", "is_falling_behind",
-)
+FLAT_COLUMNS = tuple(c for c in schemas.METRICS_FLATTENED.fieldNames() if c != "lag_percentile_95_24h")
 
 
 def _all_rules(metrics: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ none does, one for the eviction of the key. What a batch reads is the state of t
 size is bounded by the operator's window, never by the length of the history.
 
 * :func:`metric_records`: previous poll and 24 hours of lags per (cluster, group);
+* :func:`correlation`: last time per group of a topic, in the order of these times;
 * :func:`newest_enrichment`: one alert with its newest enrichment per alert id;
 * :func:`compacted`: last value per key, deletes kept for a lifetime, changes as output.
 """
@@ -28,7 +29,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lagwatch import schemas
+from lagwatch.operators import correlate
 from lagwatch.operators.rollup import SKEW_CAP
+from lagwatch.operators.rules import in_gate
 from lagwatch.operators.timeline import DAY, SECOND
 from lagwatch.streaming.stages import STATE_STORE, write_dated
 
@@ -180,6 +183,118 @@ def metric_records(
     )
 
 
+# --- distinct groups of a topic ---------------------------------------------------------------
+
+
+class Present:
+    """Groups seen within the last ``width`` microseconds.
+
+    They are kept in the order of their last time, so those to expire stand in front, and there is one
+    entry per group however many rows it sends.
+    """
+
+    def __init__(self, width: int, last: Mapping[str, int] | None = None):
+        self.width, self.last = width, dict(last or {})
+
+    def see(self, group: str, time: int) -> None:
+        self.last.pop(group, None)
+        self.last[group] = time
+
+    def count(self, time: int) -> int:
+        gone = []
+        for group, seen in self.last.items():
+            if seen >= time - self.width:
+                break
+            gone.append(group)
+        for group in gone:
+            del self.last[group]
+        return len(self.last)
+
+
+_COUNTED = (
+    "alert_time timestamp, cluster_id string, consumer_group string, topic string, current_lag long, read_speed double, "
+    "write_speed double, time_to_catchup_seconds double, partition_skew_score double, affected_groups long, "
+    "total_groups long, _groups string"
+)
+
+
+def correlation(
+    metrics: DataFrame, delay: str = DELAY, lookback: float = 300, min_groups: int = 2, bucket: int = 300
+) -> DataFrame:
+    """Metric rows as a stream to the alerts of :func:`lagwatch.operators.correlate.correlation`.
+
+    Rows of a topic wait until the watermark has passed them; those of one moment are counted together.
+    A topic without rows for the look-back has no state.
+    """
+    width = int(lookback * SECOND)
+    numbers = ("current_lag", "read_speed", "write_speed", "time_to_catchup_seconds", "partition_skew_score")
+    flags = {
+        "_degraded": F.coalesce(correlate.degraded(), F.lit(False)),
+        "_wanted": F.coalesce(F.col("is_falling_behind") | (F.col("lag_velocity") > 100), F.lit(False))
+        & in_gate(F.col("event_time"), bucket),
+    }
+    columns = ["cluster_id", "consumer_group", *numbers, *flags]
+
+    def moment(topic: str, time: int, rows: list[tuple], degraded: Present, present: Present) -> Iterator[dict]:
+        for _, group, *_, is_degraded, _ in rows:
+            present.see(group, time)
+            if is_degraded:
+                degraded.see(group, time)
+        affected, total = degraded.count(time), present.count(time)
+        if affected < min_groups:
+            return
+        by_cluster: dict[str, list[tuple]] = {}
+        for row in rows:
+            if row[-1]:
+                by_cluster.setdefault(row[0], []).append(row)
+        for cluster, own in by_cluster.items():
+            groups = sorted({r[1] for r in own})
+            values = dict(zip(numbers, zip(*(r[2:7] for r in own), strict=True), strict=True))
+
+            def mean(name: str, values: dict = values) -> float | None:
+                known = [v for v in values[name] if not pd.isna(v)]
+                return sum(known) / len(known) if known else None
+
+            yield {
+                "alert_time": time, "cluster_id": cluster, "consumer_group": groups[0], "topic": topic,
+                "current_lag": sum(values["current_lag"]), "read_speed": mean("read_speed"),
+                "write_speed": mean("write_speed"),
+                "time_to_catchup_seconds": max(values["time_to_catchup_seconds"]),
+                "partition_skew_score": mean("partition_skew_score"),
+                "affected_groups": affected, "total_groups": total, "_groups": ", ".join(groups),
+            }
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, *last = pickle.loads(state.get[0]) if state.exists else ({}, None, None)
+        degraded, present = (Present(width, x) for x in last)
+        for batch in (b for b in batches if not b.empty):
+            times = (batch["event_time"].astype("int64") // _unit(batch["event_time"])).tolist()
+            for time, *row in zip(times, *(batch[c].tolist() for c in columns), strict=True):
+                waiting.setdefault(time, {}).setdefault((row[0], row[1]), tuple(row))
+        watermark = state.getCurrentWatermarkMs() * 1_000
+        found = [
+            alert
+            for time in sorted(t for t in waiting if t <= watermark)
+            for alert in moment(key[0], time, list(waiting.pop(time).values()), degraded, present)
+        ]
+        ends = max(present.last.values(), default=0) + width
+        if not waiting and ends <= watermark:
+            state.remove()
+        else:
+            state.update((pickle.dumps((waiting, degraded.last, present.last)),))
+            _timer(state, min(waiting, default=ends))
+        if found:
+            made = pd.DataFrame(found)
+            made["alert_time"] = pd.to_datetime(made["alert_time"], unit="us")
+            yield made
+
+    rows = metrics.withColumns(flags).select("event_time", "topic", *columns)
+    counted = rows.withWatermark("event_time", delay).groupBy("topic").applyInPandasWithState(
+        step, _COUNTED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return correlate.topic_alerts(counted)
+
+
 # --- two inputs in one state ------------------------------------------------------------------
 
 ENRICHED = T.StructType(

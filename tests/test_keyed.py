@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import random
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
-from tables import at, same
+from tables import at, metric_rows, same
 
 from lagwatch import schemas
-from lagwatch.operators import alerts, baseline, rollup
+from lagwatch.operators import alerts, baseline, correlate, rollup
+from lagwatch.operators.registry import DETECTORS, run_configured
 from lagwatch.plans import inputs
 from lagwatch.sources import tables
 from lagwatch.streaming import keyed, stages
@@ -184,3 +185,56 @@ def test_streams_of_the_small_table(spark, tmp_path):
     found = stages.output(spark, root, schemas.METRICS_FLATTENED)
     assert found.columns == schemas.METRICS_FLATTENED.fieldNames()
     assert found.where("lag_percentile_95_24h is null").isEmpty()
+
+
+def test_correlation_counts_equal_batch_out_of_order(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    rng = random.Random(5)
+    rows = []
+    for t in range(0, 3_600, 10):
+        for g in range(7):
+            if rng.random() < 0.5:
+                bad = rng.random() < 0.15
+                rows.append({
+                    "t": t, "consumer_group": f"g{g}", "topic": f"t{g % 2}", "cluster_id": f"c{g % 3 % 2}",
+                    "current_lag": rng.randint(0, 900), "lag_velocity": 200.0 if bad else 0.0,
+                    "is_falling_behind": rng.random() < 0.1, "read_speed": float(rng.randint(240, 400)),
+                })
+    metrics = metric_rows(spark, rows).drop("lag_percentile_95_24h")
+    arrives = F.unix_seconds("event_time") + F.pmod(F.xxhash64("event_time", "consumer_group"), F.lit(25))
+    ordered = metrics.withColumn("_arrives", arrives).cache()
+    start = int(at(0).replace(tzinfo=timezone.utc).timestamp())
+    for low, high in ((0, 1_000), (1_000, 1_007), (1_007, 2_500), (2_500, 9_000)):
+        part = ordered.where(F.col("_arrives").between(start + low, start + high - 1)).drop("_arrives")
+        append(part.union(part.limit(2)), source)  # some are delivered twice
+        rows_in = tables.stream_table(spark, source, metrics.schema)
+        keyed.start(keyed.correlation(rows_in, min_groups=3, bucket=60), "alert_time", root).awaitTermination()
+    end = at(max(r["t"] for r in rows) - 30)
+    want = correlate.correlation(metrics, min_groups=3, bucket=60).where(F.col("alert_time") <= F.lit(end))
+    found = stages.output(spark, root, schemas.ALERTS)
+    assert want.count() > 10
+    exact = [c for c in want.columns if c not in ("read_speed", "write_speed", "partition_skew_score")]
+    assert same(found.select(*exact), want.select(*exact))
+
+
+def test_presence_expires_in_order():
+    present = keyed.Present(100)
+    for group, time in (("a", 0), ("b", 50), ("a", 90)):
+        present.see(group, time)
+    assert [present.count(t) for t in (90, 150, 151, 190, 191)] == [2, 2, 1, 1, 0]
+    assert keyed.Present(100, {"a": 5}).count(105) == 1
+
+
+def test_configured_detectors(spark):
+    metrics = metric_rows(spark, [{"t": 10 * i, "current_lag": 50_000, "lag_velocity": 5.0} for i in range(20)])
+    found = run_configured(metrics, {
+        "threshold_lag_spike": {"limit": 20_000}, "threshold_lag_up": {"min_lag": 5}, "correlation": {"enabled": False},
+        "rule_table": {"rules": [{"detector": "d", "measure": "current_lag", "enabled": True, "critical": 9, "high": 1}]},
+        "moving_avg_spike": {"value": "read_speed"},
+    })
+    assert set(found) == {"group_rules", "rule_table", "moving_avg_spike"}
+    assert {r.detection_type for r in found["group_rules"].collect()} == {"THRESHOLD_LAG_SPIKE", "arima_lag_up"}
+    assert found["rule_table"].count() == 20
+    assert len(DETECTORS) == 10
+    with pytest.raises(ValueError, match="unknown detectors: nothing"):
+        run_configured(metrics, {"nothing": {}})
