@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lagwatch import schemas
@@ -25,7 +26,7 @@ from lagwatch.plans import inputs
 from lagwatch.plans.present import open_context, present
 from lagwatch.session import configure, scratch_path, stage_table
 from lagwatch.sources import messages, tables
-from lagwatch.streaming import jobs, keyed, stages
+from lagwatch.streaming import jobs, keyed, sinks, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -670,3 +671,66 @@ def stream_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _feed([(log, "time", source)], begin)
     return alerts.compact(stages.output(spark, root, keyed.CHANGES).drop("time"))
+
+
+@query
+def sink_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows as a stream into the dated metrics table, with a restart in between."""
+    table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
+    source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics_sink")
+
+    def begin() -> StreamingQuery:
+        stream = tables.stream_table(spark, source, table.schema)
+        return sinks.start(stream, "event_time", root, spread=["consumer_group"])
+
+    _feed([(table, "event_time", source)], begin)
+    return present(sinks.scan(spark, f"{root}/table", table.schema, "event_time"))
+
+
+@query
+def sink_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows as a stream through the threshold rule into the dated alert table, ids once."""
+    table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
+    twice = table.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("_copy")
+    source, root = scratch_path(spark, "alerts_in"), scratch_path(spark, "alerts_sink")
+
+    def begin() -> StreamingQuery:
+        stream = tables.stream_table(spark, source, table.schema)
+        found = jobs.deduplicated(rules.threshold_lag_up(stream))
+        return sinks.start(found, "alert_time", root)
+
+    _feed([(twice, "event_time", source)], begin, late=8)
+    return open_context(sinks.scan(spark, f"{root}/table", schemas.ALERTS, "alert_time"), LAG_UP_CONTEXT)
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed records as a stream, split into typed rows and a quarantine; records by reason."""
+    records = stage_table(inputs.framed_records(spark, sf_dir), "framed")
+    source, root = scratch_path(spark, "framed_in"), scratch_path(spark, "checked")
+
+    def begin() -> StreamingQuery:
+        stream = tables.stream_table(spark, source, records.schema)
+        return sinks.start_checked(
+            stream, schemas.METRICS_SOURCE, schemas.METRICS_SOURCE_REQUIRED, "event_time", root, framed=True
+        )
+
+    _feed([(records, "event_time", source)], begin)
+    kept = T.StructType([f for f in records.schema if f.name != "value"] + schemas.METRICS_SOURCE.fields)
+    valid = sinks.scan(spark, f"{root}/table", kept, "event_time")
+    reasoned = T.StructType([*records.schema.fields, T.StructField("reason", T.StringType())])
+    bad = sinks.scan(spark, f"{root}/quarantine", reasoned, "event_time")
+    nested = F.size("partitions").cast("long")
+    return messages.quarantine_counts(bad).unionByName(
+        valid.agg(F.lit("valid").alias("reason"), F.count(F.lit(1)).alias("records"))
+    ).unionByName(valid.agg(F.lit("valid partitions").alias("reason"), F.sum(nested).alias("records")))
+
+
+@query
+def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in a dated table, after the dates that ended more than seven days before its newest one were deleted."""
+    events = inputs.simulator_events(spark, sf_dir).select("event_id", "event_time", "consumer_group")
+    path = scratch_path(spark, "events_dated")
+    sinks.write_batch(events, "event_time", path, 0, spread=["consumer_group"])
+    sinks.drop_expired(spark, path)
+    return present(sinks.scan(spark, path, events.schema, "event_time"))

@@ -270,6 +270,16 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.select(F.col("consumer_group").alias("key"), "event_time", value.alias("value"))
 
 
+def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spoilt records in registry frames; every 19th frame is wrong, every 23rd partition list lacks a member."""
+    records = wire_records(spark, sf_dir)
+    tick = F.call_function("div", epoch("event_time"), F.lit(10))
+    lacking = F.regexp_replace("value", r'"consumed_offset":\d+,', "")
+    framed = messages.encode_framed(F.when(tick % 23 == 0, lacking).otherwise(F.col("value")), 3)
+    wrong = F.concat(F.unhex(F.lit("7B")), framed)
+    return records.withColumn("value", F.when(tick % 19 == 0, wrong).otherwise(framed))
+
+
 def telemetry_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long table (metric, topic, ts, value) with five metrics per topic."""
     received = F.floor(F.col("value") * 1024)

@@ -481,6 +481,21 @@ def _bodies() -> dict[str, str]:
     q["stream_enriched"] = q["alerts_enriched"] + """ AND alerts.alert_time <= greatest(
       (SELECT max(alert_time) FROM alerts), (SELECT max("timestamp") FROM enriched)) - INTERVAL 610 SECONDS"""
     q["stream_compact"] = q["compact_latest"]
+    q["sink_metrics"] = f"""SELECT {_TIMED}, cluster_id, topic, current_lag,
+      {_doubles('read_speed', 'write_speed', 'time_to_catchup_seconds', 'partition_skew_score',
+                'lag_24h_avg', 'lag_velocity', 'speed_ratio')},
+      partition_count, is_falling_behind FROM metrics"""
+    q["sink_alerts"] = q["threshold_lag_up"]
+    judged = """(SELECT consumer_group, event_time, CASE WHEN tick % 19 = 0 THEN 'frame'
+        WHEN tick % 17 = 0 THEN 'malformed' WHEN tick % 11 = 0 THEN 'missing:topic'
+        WHEN tick % 13 = 0 THEN 'type:current_lag'
+        WHEN tick % 23 = 0 THEN 'missing:partitions[].consumed_offset' ELSE 'valid' END AS reason FROM metrics) judged"""
+    q["stream_quarantine"] = f"""SELECT reason, count(*) AS records FROM {judged} GROUP BY reason
+      UNION ALL SELECT 'valid partitions', count(*) FROM {judged} JOIN lag
+        ON lag.consumer_group = judged.consumer_group AND lag.poll_time = judged.event_time
+        WHERE reason = 'valid'"""
+    q["retention_drop"] = f"""SELECT event_id, {iso('event_time')} AS event_time, consumer_group FROM sim
+      WHERE CAST(event_time AS DATE) >= (SELECT CAST(max(event_time) AS DATE) - 7 FROM sim)"""
     return q
 
 

@@ -107,7 +107,11 @@ RAW_MESSAGES = _struct(
     ("topic", _S), ("partition", _I), ("offset", _L), ("key", _S), ("value", _S)
 )
 
-# Fields a published record must carry, with their JSON types.
+# Fields a published record must carry, with their JSON types; in brackets: those of array elements.
+PARTITION_DETAIL_REQUIRED = {
+    f.name: "string" if f.dataType == _S else "integer" for f in PARTITION_DETAIL
+}
+
 METRICS_SOURCE_REQUIRED = {
     "timestamp": "string",
     "cluster_id": "string",
@@ -121,7 +125,7 @@ METRICS_SOURCE_REQUIRED = {
     "lag_24h_avg": "number",
     "lag_percentile_95_24h": "number",
     "partition_count": "integer",
-    "partitions": "array",
+    "partitions": [PARTITION_DETAIL_REQUIRED],
 }
 
 METRICS_FLATTENED_REQUIRED = {

@@ -1,8 +1,12 @@
-"""Message payloads: dispatch by topic, framed JSON, schema checks, open-schema events."""
+"""Message payloads: dispatch by topic, framed JSON, schema checks, open-schema events.
+
+A required-field table maps a member's name to its JSON type. ``[{...}]`` in place of a type means an
+array whose elements are objects with required members of their own, to any depth.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +27,16 @@ _JSON_TYPES = {
     "array": ["ARRAY"],
 }
 
+Required = Mapping[str, "str | list[Required]"]
+
 
 def dispatch(messages: DataFrame, topic: str, schema: T.StructType) -> DataFrame:
-    """Typed rows of one topic, with topic, partition, offset and key kept."""
+    """Typed rows of one topic, with topic, partition, offset and key kept.
+
+    Values that are no JSON object give no row; ``check`` names them.
+    """
     parsed = F.from_json("value", schema)
-    return messages.where(F.col("topic") == topic).select(
+    return messages.where((F.col("topic") == topic) & _members(F.try_parse_json("value")).isNotNull()).select(
         F.col("topic").alias("_topic"),
         F.col("partition").alias("_partition"),
         F.col("offset").alias("_offset"),
@@ -36,15 +45,29 @@ def dispatch(messages: DataFrame, topic: str, schema: T.StructType) -> DataFrame
     ).select("_topic", "_partition", "_offset", "_key", "_value.*")
 
 
-def decode_framed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Strip the frame of a binary value and parse the JSON behind it."""
-    frame = F.col(value)
-    schema_id = F.conv(F.hex(F.substring(frame, 2, 4)), 16, 10).cast("int")
+def _text_behind_frame(frame: Column) -> Column:
+    """JSON text of a framed value; null where the frame is short or does not begin with a zero byte."""
+    framed = (F.length(frame) >= FRAME_BYTES) & (F.hex(F.substring(frame, 1, 1)) == "00")
     length = F.greatest(F.length(frame) - FRAME_BYTES, F.lit(0))
-    text = frame.substr(F.lit(FRAME_BYTES + 1), length).cast("string")
-    return df.withColumns(
-        {"schema_id": schema_id, "_value": F.from_json(text, schema)}
-    ).select(*[c for c in df.columns if c != value], "schema_id", "_value.*")
+    return F.when(framed, frame.substr(F.lit(FRAME_BYTES + 1), length).cast("string"))
+
+
+def unframe(df: DataFrame, value: str = "value") -> DataFrame:
+    """Replace a framed value by its text and add ``schema_id``; both are null without a valid frame."""
+    text = _text_behind_frame(F.col(value))
+    schema_id = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
+    return df.withColumns({"schema_id": F.when(text.isNotNull(), schema_id), value: text})
+
+
+def decode_framed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Strip the frame of a binary value and parse the JSON behind it.
+
+    A value without a valid frame gives a row whose ``schema_id`` and members are null.
+    """
+    others = [c for c in df.columns if c != value]
+    return unframe(df, value).select(
+        *others, "schema_id", F.from_json(value, schema).alias("_value")
+    ).select(*others, "schema_id", "_value.*")
 
 
 def encode_framed(json_text: Column, schema_id: int) -> Column:
@@ -52,12 +75,18 @@ def encode_framed(json_text: Column, schema_id: int) -> Column:
     return F.concat(frame, json_text.cast("binary"))
 
 
-def check(df: DataFrame, required: Mapping[str, str], value: str = "value") -> DataFrame:
-    """Add ``reason``: null for a valid record, else the first thing wrong with it.
+def _members(value: Column) -> Column:
+    """Members of a variant object; null for any other value."""
+    return F.try_variant_get(value, "$", "map<string, variant>")
+
+
+def _problem(value: Column, required: Required, path: str) -> Column:
+    """First thing wrong with a variant that should be an object with these members, or null.
 
-    The text is parsed once, to a map from member name to type name.
+    Members are looked at in the order of the table; those of array elements come after them, in
+    the order of the elements.
     """
-    members = F.try_variant_get(F.try_parse_json(value), "$", "map<string, variant>")
+    members = _members(value)
     types = F.transform_values(
         members, lambda _, v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
     )
@@ -65,7 +94,7 @@ def check(df: DataFrame, required: Mapping[str, str], value: str = "value") -> D
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                F.array(*[F.lit(t) for t in _JSON_TYPES[kind]]).alias("types"),
+                F.array(*[F.lit(t) for t in _JSON_TYPES["array" if isinstance(kind, list) else kind]]).alias("types"),
             )
             for name, kind in required.items()
         ]
@@ -73,35 +102,60 @@ def check(df: DataFrame, required: Mapping[str, str], value: str = "value") -> D
 
     def step(state: Column, field: Column) -> Column:
         found = state["types"][field["name"]]
-        problem = F.when(found.isNull(), F.concat(F.lit("missing:"), field["name"])).when(
-            ~F.array_contains(field["types"], found), F.concat(F.lit("type:"), field["name"])
+        where = F.concat(F.lit(path), field["name"])
+        problem = F.when(found.isNull(), F.concat(F.lit("missing:"), where)).when(
+            ~F.array_contains(field["types"], found), F.concat(F.lit("type:"), where)
         )
         return F.struct(
             state["types"].alias("types"), F.coalesce(state["reason"], problem).alias("reason")
         )
 
     start = F.struct(types.alias("types"), F.lit(None).cast("string").alias("reason"))
-    reason = F.aggregate(
-        wanted,
-        start,
-        step,
-        lambda state: F.when(state["types"].isNull(), "malformed").otherwise(state["reason"]),
+    own = F.aggregate(wanted, start, step, lambda state: state["reason"])
+    nested = []
+    for name, kind in required.items():
+        if isinstance(kind, list):
+            elements = F.try_variant_get(members[name], "$", "array<variant>")
+            inside = f"{path}{name}[]"
+            found = F.transform(elements, _element_check(kind[0], f"{inside}."))
+            nested.append(F.get(F.filter(found, lambda r: r.isNotNull()), F.lit(0)))
+    unlike = F.lit(f"type:{path.removesuffix('.')}" if path else "malformed")
+    return F.when(members.isNull(), unlike).otherwise(F.coalesce(own, *nested))
+
+
+def _element_check(required: Required, path: str) -> Callable[[Column], Column]:
+    return lambda element: _problem(element, required, path)
+
+
+def check(df: DataFrame, required: Required, value: str = "value", framed: bool = False) -> DataFrame:
+    """Add ``reason``: null for a valid record, else the first thing wrong with it.
+
+    Reasons: ``frame`` (a binary value, if ``framed``, without a valid frame), ``malformed`` (no JSON
+    object, or null), ``missing:<member>`` and ``type:<member>``; members of array elements are named
+    ``array[].member``, and an element that is no object is ``type:array[]``. The text is parsed once.
+    """
+    text = _text_behind_frame(F.col(value)) if framed else F.col(value)
+    reason = _problem(F.try_parse_json(text), required, "")
+    return df.withColumn("reason", F.when(text.isNull(), "frame").otherwise(reason) if framed else reason)
+
+
+def typed(checked: DataFrame, schema: T.StructType, value: str = "value", framed: bool = False) -> DataFrame:
+    """Records without a ``reason``, parsed."""
+    others = [c for c in checked.columns if c not in (value, "reason")]
+    text = _text_behind_frame(F.col(value)) if framed else F.col(value)
+    return (
+        checked.where(F.col("reason").isNull())
+        .select(*others, F.from_json(text, schema).alias("_value"))
+        .select(*others, "_value.*")
     )
-    return df.withColumn("reason", reason)
 
 
 def validate(
-    df: DataFrame, schema: T.StructType, required: Mapping[str, str], value: str = "value"
+    df: DataFrame, schema: T.StructType, required: Required, value: str = "value", framed: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Split records into typed rows and a quarantine; a bad record never fails the job."""
-    checked = check(df, required, value)
-    others = [c for c in df.columns if c != value]
-    valid = (
-        checked.where(F.col("reason").isNull())
-        .select(*others, F.from_json(value, schema).alias("_value"))
-        .select(*others, "_value.*")
-    )
-    return valid, checked.where(F.col("reason").isNotNull())
+    checked = check(df, required, value, framed)
+    return typed(checked, schema, value, framed), checked.where(F.col("reason").isNotNull())
 
 
 def quarantine_counts(quarantine: DataFrame) -> DataFrame:

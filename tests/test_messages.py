@@ -1,6 +1,9 @@
 """Decoding, schema checks, table definitions."""
 
+import json
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lagwatch import schemas
 from lagwatch.functions.expr import json_object
@@ -31,13 +34,14 @@ def test_reasons(spark):
     assert found == cases
 
 
+def minimal(required):
+    """The least record that the table accepts."""
+    least = {"string": "x", "integer": 0, "number": 0.5, "boolean": False}
+    return {name: [minimal(kind[0])] if isinstance(kind, list) else least[kind] for name, kind in required.items()}
+
+
 def test_bootstrap_record_is_valid(spark):
-    record = (
-        '{"event_time":"2024-01-01T00:00:00Z","cluster_id":"c","consumer_group":"g","topic":"t",'
-        '"current_lag":0,"read_speed":0.0,"write_speed":0.0,"time_to_catchup_seconds":0.0,'
-        '"partition_skew_score":0.0,"lag_24h_avg":0.0,"lag_percentile_95_24h":0.0,'
-        '"partition_count":0,"lag_velocity":0.0,"speed_ratio":1.0,"is_falling_behind":false}'
-    )
+    record = json.dumps(minimal(schemas.METRICS_FLATTENED_REQUIRED) | {"event_time": "2024-01-01T00:00:00Z"})
     df = spark.createDataFrame([(record,)], "value string")
     valid, bad = messages.validate(
         df, schemas.METRICS_FLATTENED, schemas.METRICS_FLATTENED_REQUIRED
@@ -46,6 +50,75 @@ def test_bootstrap_record_is_valid(spark):
     assert valid.first().event_time == at(0)
 
 
+NESTED = {"id": "string", "parts": [{"n": "integer", "inner": [{"on": "boolean"}]}]}
+
+
+def test_reasons_inside_arrays(spark):
+    good = {"id": "x", "parts": [{"n": 1, "inner": [{"on": True}]}, {"n": 2, "inner": []}]}
+
+    def spoilt(change):
+        record = json.loads(json.dumps(good))
+        change(record)
+        return json.dumps(record)
+
+    cases = {
+        json.dumps(good): None,
+        spoilt(lambda r: r.update(parts=[])): None,
+        spoilt(lambda r: r["parts"][1].pop("n")): "missing:parts[].n",
+        spoilt(lambda r: r["parts"][1].update(n="2")): "type:parts[].n",
+        spoilt(lambda r: r["parts"].append(7)): "type:parts[]",
+        spoilt(lambda r: r["parts"].append(None)): "type:parts[]",
+        spoilt(lambda r: r["parts"][0]["inner"].append({})): "missing:parts[].inner[].on",
+        spoilt(lambda r: r["parts"][0]["inner"].append([])): "type:parts[].inner[]",
+        spoilt(lambda r: r["parts"][0].update(inner=3)): "type:parts[].inner",
+        spoilt(lambda r: (r.pop("id"), r["parts"][0].pop("n"))): "missing:id",
+        spoilt(lambda r: r.update(parts=None)): "type:parts",
+    }
+    df = spark.createDataFrame([(text,) for text in cases], "value string")
+    assert {r.value: r.reason for r in messages.check(df, NESTED).collect()} == cases
+
+
+def test_every_declared_member_is_required(spark):
+    required = schemas.METRICS_SOURCE_REQUIRED
+    least = minimal(required)
+    lacking = {f"missing:{name}": {k: v for k, v in least.items() if k != name} for name in required}
+    for name in schemas.PARTITION_DETAIL_REQUIRED:
+        part = {k: v for k, v in least["partitions"][0].items() if k != name}
+        lacking[f"missing:partitions[].{name}"] = least | {"partitions": [part]}
+    rows = [(reason, json.dumps(record)) for reason, record in lacking.items()]
+    df = spark.createDataFrame([*rows, (None, json.dumps(least))], "want string, value string")
+    valid, bad = messages.validate(df, schemas.METRICS_SOURCE, required)
+    assert {(r.want, r.reason) for r in bad.collect()} == {(w, w) for w in lacking}
+    assert valid.count() == 1
+
+
+def test_frames(spark):
+    text = json.dumps(minimal(NESTED)).encode()
+    cases = [
+        (b"\x00\x00\x00\x00\x07" + text, None),
+        (b"\x01\x00\x00\x00\x07" + text, "frame"),
+        (text, "frame"),
+        (b"\x00\x00\x07", "frame"),
+        (b"", "frame"),
+        (None, "frame"),
+        (b"\x00\x00\x00\x00\x07", "malformed"),
+        (b"\x00\x00\x00\x00\x07{", "malformed"),
+    ]
+    df = spark.createDataFrame([(i, v, w) for i, (v, w) in enumerate(cases)], "i int, value binary, want string")
+    assert all(r.reason == r.want for r in messages.check(df, NESTED, framed=True).collect())
+    back = messages.decode_framed(df, T.StructType([T.StructField("id", T.StringType())]))
+    assert {r.i: (r.schema_id, r.id) for r in back.collect()} == {
+        i: (7 if w != "frame" else None, "x" if w is None else None) for i, (_, w) in enumerate(cases)
+    }
+
+
+def test_dispatch_leaves_out_what_is_no_object(spark):
+    values = ['{"a":1}', "{}", "{", "[]", "3", "", None]
+    df = spark.createDataFrame([("t", 0, i, "k", v) for i, v in enumerate(values)], schemas.RAW_MESSAGES)
+    rows = messages.dispatch(df, "t", T.StructType([T.StructField("a", T.LongType())])).collect()
+    assert {(r._offset, r.a) for r in rows} == {(0, 1), (1, None)}
+
+
 def test_framed_round_trip(spark):
     schema = "a int, b string"
     df = spark.createDataFrame([(1, "x"), (2, None)], schema)
