@@ -38,16 +38,22 @@ def forecast(
     algorithm: str = "ARIMA",
     keys: Sequence[str] = GROUP,
     chunk_rows: int = BLOCK_ROWS,
+    per_unit: int = 10_000,
 ) -> DataFrame:
     """Add ``anomaly_data`` (is_anomaly, anomaly_score, prediction) per row.
 
     The model sees the ``training_window`` rows before the row. Rows are numbered per key and cut
     into blocks of equal length that overlap by one window, so a key of any size is spread evenly.
+
+    Algorithms: ``ARIMA`` (numpy); ``AR``, the same least squares on the orders ``p`` and ``d`` alone, in
+    JVM windows over values in ``per_unit``-ths; ``ZSCORE``, mean and deviation.
     """
     numbered = tl.number_by_time(df, keys, "event_time")
     spread = tl.spread_rows(numbered, tl.ROW, chunk_rows, training_window)
     if algorithm == "ZSCORE":
         return _zscore(spread, value, threshold, training_window, keys)
+    if algorithm == "AR":
+        return _autoregressive(spread, value, p, d, threshold, training_window, keys, per_unit)
     if algorithm != "ARIMA":
         raise ValueError(f"unknown algorithm {algorithm!r}")
 
@@ -104,6 +110,85 @@ def _zscore(
     )
 
 
+def _autoregressive(
+    spread: DataFrame, value: str, p: int, d: int, threshold: float, rows: int, keys: Sequence[str], per_unit: int
+) -> DataFrame:
+    """Least squares of each row on the ``p`` before it, over the rows of the window, by sliding normal equations.
+
+    Values become whole numbers of 1/``per_unit``, so that the sums of cross products of a frame are exact
+    differences of two prefix sums, whatever the block. The equations are solved by elimination in doubles; a
+    lag that depends on the earlier ones gets coefficient 0. Null values give no forecast for the rows that see them.
+    """
+    if d not in (0, 1) or rows - d - p <= p + 1:
+        raise ValueError("AR takes d = 0 or 1 and a window of more than 2 p + d + 1 rows")
+    order = Window.partitionBy(*keys, tl.CHUNK).orderBy(tl.ROW)
+    targets = rows - d - p
+    upto = order.rowsBetween(Window.unboundedPreceding, -1)
+    gone = order.rowsBetween(Window.unboundedPreceding, -targets - 1)
+
+    def framed(x: Column) -> Column:
+        return (F.sum(x).over(upto) - F.coalesce(F.sum(x).over(gone), F.lit(0))).cast("double")
+
+    whole = F.floor(F.col(value).cast("double") * per_unit + 0.5).cast("decimal(19,0)")
+    before = F.lag("_x").over(order)
+    lagged = [f"_y{i}" for i in range(p + 1)]
+    series = spread.withColumn("_x", whole).withColumn("_y0", F.col("_x") - before if d else F.col("_x"))
+    series = series.withColumns({name: F.lag("_y0", k).over(order) for k, name in enumerate(lagged) if k})
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    complete = F.when(F.count("_x").over(order.rowsBetween(-rows, -1)) == rows, F.lit(True))
+    summed = series.withColumns(
+        {
+            "_seen": complete,
+            "_base": before.cast("double") if d else F.lit(0.0),
+            **{f"_s{i}": framed(F.col(name)) for i, name in enumerate(lagged)},
+            **{f"_a{i}{j}": framed(F.col(lagged[i]) * F.col(lagged[j])) for i, j in pairs},
+        }
+    )
+    solved = summed.withColumns(
+        {f"_a{i}{j}": F.col(f"_a{i}{j}") * targets - F.col(f"_s{i}") * F.col(f"_s{j}") for i, j in pairs}
+    )
+    solved = solved.withColumns({f"_c{i}": F.col(f"_a0{i}") for i in range(1, p + 1)})
+    solved = solved.withColumns({f"_d{i}": F.col(f"_a{i}{i}") * 1e-9 for i in range(1, p + 1)})
+    for k in range(1, p):
+        pivot, live = F.col(f"_a{k}{k}"), F.col(f"_a{k}{k}") > F.col(f"_d{k}")
+        factor = {i: F.when(live, F.col(f"_a{k}{i}") / pivot).otherwise(0.0) for i in range(k + 1, p + 1)}
+        solved = solved.withColumns({f"_f{i}": f for i, f in factor.items()})
+        reduced = {f"_c{i}": F.col(f"_c{i}") - F.col(f"_f{i}") * F.col(f"_c{k}") for i in factor}
+        for i in factor:
+            for j in range(i, p + 1):
+                reduced[f"_a{i}{j}"] = F.col(f"_a{i}{j}") - F.col(f"_f{i}") * F.col(f"_a{k}{j}")
+        solved = solved.withColumns(reduced)
+    for k in range(p, 0, -1):
+        rest = F.col(f"_c{k}")
+        for j in range(k + 1, p + 1):
+            rest = rest - F.col(f"_a{k}{j}") * F.col(f"_b{j}")
+        live = F.col(f"_a{k}{k}") > F.col(f"_d{k}")
+        solved = solved.withColumn(f"_b{k}", F.when(live, rest / F.col(f"_a{k}{k}")).otherwise(0.0))
+
+    error, level, ahead = F.col("_a00"), F.col("_s0"), F.lit(0.0)
+    for k in range(1, p + 1):
+        error = error - F.col(f"_b{k}") * F.col(f"_a0{k}")
+        level = level - F.col(f"_b{k}") * F.col(f"_s{k}")
+        ahead = ahead + F.col(f"_b{k}") * F.col(lagged[k]).cast("double")
+    # a generator ends the chain of projections: filters on the forecast would be rewritten through all of it
+    fit = F.struct(error.alias("_error"), (F.col("_base") + level / targets + ahead).alias("_ahead"))
+    given = [c for c in spread.columns if c not in (tl.CHUNK, tl.OWN, tl.ROW)]
+    solved = solved.where(tl.OWN).select(*given, "_x", "_seen", "_a00", F.inline(F.array(fit)))
+    miss = F.abs(F.col("_x").cast("double") - F.col("_ahead"))
+    sigma = F.sqrt(F.col("_error") / targets / (targets - p - 1))
+    score = F.when(
+        F.col("_error") <= F.col("_a00") * 1e-12,
+        F.when(miss <= (F.abs("_ahead") + 1) * 1e-6, 0.0).otherwise(1.0),
+    ).otherwise(F.least(miss / sigma / arima.SIGMAS_AT_FULL_SCORE, F.lit(1.0)))
+    result = F.struct(
+        F.coalesce(F.col("_score") > threshold, F.lit(False)).alias("is_anomaly"),
+        F.col("_score").alias("anomaly_score"),
+        F.when(F.col("_seen"), F.col("_ahead") / per_unit).alias("prediction"),
+    )
+    scored = solved.withColumn("_score", F.when(F.col("_seen") & F.col("_x").isNotNull(), score))
+    return scored.select(*given, result.alias("anomaly_data"))
+
+
 def _rule(detection_type: str, where: Column, context: Column) -> Rule:
     score = F.col("anomaly_data.anomaly_score")
     return Rule(

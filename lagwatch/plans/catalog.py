@@ -366,6 +366,24 @@ def forecast_hot_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ar_lag_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forecast.forecast_lag_up(inputs.metrics(spark, sf_dir), "AR")
+    return open_context(found, FORECAST_LAG_CONTEXT)
+
+
+@query
+def ar_speed_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forecast.forecast_speed_down(inputs.metrics(spark, sf_dir), "AR", **SENSITIVE)
+    return open_context(found, FORECAST_SPEED_CONTEXT)
+
+
+@query
+def ar_hot_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forecast.forecast_hot_partition(inputs.metrics(spark, sf_dir), "AR", **SENSITIVE)
+    return open_context(found, FORECAST_SKEW_CONTEXT)
+
+
 @query
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group rules in one pass, the topic rule and the forecast rules, over one written metrics table.

@@ -40,6 +40,57 @@ def zscore(kind: str, value: str, trained: str, rows: int, threshold: float, whe
       WHERE anomaly_score > {threshold} AND {where}"""
 
 
+def regression(kind: str, value: str, trained: str, p: int, rows: int, threshold: float, where: str) -> str:
+    """Rows whose ``value`` is far from its least-squares forecast over the ``rows`` rows before it.
+
+    Differences are regressed on the ``p`` differences before each; values are whole ten-thousandths.
+    """
+    n = rows - 1 - p
+    lags = ", ".join(f"lag(y0, {k}) OVER g AS y{k}" for k in range(1, p + 1))
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    sums = ", ".join(
+        [f"CAST(sum(y{i}) OVER w AS DOUBLE) AS s{i}" for i in range(p + 1)]
+        + [f"CAST(sum(y{i} * y{j}) OVER w AS DOUBLE) AS q{i}{j}" for i, j in pairs]
+    )
+    moments = ", ".join(f"q{i}{j} * {n} - s{i} * s{j} AS m0{i}{j}" for i, j in pairs)
+    sql = f"""SELECT *, {moments} FROM (
+      SELECT *, count(*) OVER (g ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING) AS seen, {sums}
+      FROM (SELECT *, {lags} FROM (SELECT *, x - lag(x) OVER g AS y0, lag(x) OVER g AS x1 FROM (
+          SELECT *, CAST(floor(CAST({value} AS DOUBLE) * 10000 + 0.5) AS HUGEINT) AS x FROM metrics WHERE {trained})
+        WINDOW g AS (PARTITION BY consumer_group ORDER BY event_time))
+        WINDOW g AS (PARTITION BY consumer_group ORDER BY event_time))
+      WINDOW g AS (PARTITION BY consumer_group ORDER BY event_time),
+        w AS (PARTITION BY consumer_group ORDER BY event_time ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING))
+      WHERE seen = {rows}"""
+
+    def live(k: int) -> str:  # what is left of a lag after the earlier ones
+        return f"m{k - 1}{k}{k} > m0{k}{k} * 1e-9"
+
+    for k in range(1, p):  # step k takes lag k out of the later equations; column 0 is the right side
+        factor = ", ".join(f"CASE WHEN {live(k)} THEN m{k - 1}{k}{i} / m{k - 1}{k}{k} ELSE 0 END AS f{k}{i}"
+                           for i in range(k + 1, p + 1))
+        left = ", ".join(f"m{k - 1}{i}{j} - f{k}{i} * m{k - 1}{k}{j} AS m{k}{i}{j}"
+                         for i in range(k + 1, p + 1) for j in range(i, p + 1))
+        right = ", ".join(f"m{k - 1}0{i} - f{k}{i} * m{k - 1}0{k} AS m{k}0{i}" for i in range(k + 1, p + 1))
+        sql = f"SELECT *, {left}, {right} FROM (SELECT *, {factor} FROM ({sql}))"
+    for k in range(p, 0, -1):
+        rest = "".join(f" - m{k - 1}{k}{j} * b{j}" for j in range(k + 1, p + 1))
+        sql = f"""SELECT *, CASE WHEN {live(k)} THEN (m{k - 1}0{k}{rest}) / m{k - 1}{k}{k} ELSE 0 END AS b{k}
+          FROM ({sql})"""
+    error = "m000" + "".join(f" - b{k} * m00{k}" for k in range(1, p + 1))
+    level = "s0" + "".join(f" - b{k} * s{k}" for k in range(1, p + 1))
+    ahead = "".join(f" + b{k} * CAST(y{k} AS DOUBLE)" for k in range(1, p + 1))
+    return f"""SELECT *, event_time AS alert_time, '{kind}' AS detection_type,
+        '{kind}_' || consumer_group || '_' || CAST(epoch_us(event_time) // 1000000 AS VARCHAR) AS alert_id,
+        CASE WHEN anomaly_score > 0.8 THEN 'critical' WHEN anomaly_score > 0.5 THEN 'warning'
+          ELSE 'info' END AS severity FROM (
+        SELECT *, ahead / 10000 AS m, CASE WHEN error <= m000 * 1e-12
+            THEN CASE WHEN abs(CAST(x AS DOUBLE) - ahead) <= (abs(ahead) + 1) * 1e-6 THEN 0.0 ELSE 1.0 END
+          ELSE least(abs(CAST(x AS DOUBLE) - ahead) / sqrt(error / {n} / {n - p - 1}) / 6.0, 1.0) END AS anomaly_score
+        FROM (SELECT *, {error} AS error, CAST(x1 AS DOUBLE) + ({level}) / {n}{ahead} AS ahead FROM ({sql})))
+      WHERE anomaly_score > {threshold} AND {where}"""
+
+
 _CTES = {
     "ev": "SELECT *, user_id % 12 AS g FROM events",
     "num": "SELECT g, value, row_number() OVER (PARTITION BY g ORDER BY ts, event_id) AS n FROM ev",
@@ -149,6 +200,17 @@ _CTES = {
         "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 20, 0.1,
         "partition_skew_score > m AND partition_skew_score > 2.0",
     ),
+    "arlag": regression(
+        "arima_lag_up", "current_lag", "current_lag > 0", 3, 100, 0.5, "lag_velocity > 0 AND current_lag > 1000"
+    ),
+    "arspeed": regression(
+        "arima_speed_down", "read_speed", "read_speed > 0", 3, 20, 0.1,
+        "read_speed < m AND (m - read_speed) / m > 0.2",
+    ),
+    "arskew": regression(
+        "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 2, 20, 0.1,
+        "partition_skew_score > m AND partition_skew_score > 2.0",
+    ),
     "topics": """SELECT *, count(DISTINCT consumer_group) FILTER (WHERE is_falling_behind
         OR lag_velocity > 100 OR read_speed < lag_24h_avg * 0.5) OVER w AS affected,
       count(DISTINCT consumer_group) OVER w AS total
@@ -366,6 +428,13 @@ def _bodies() -> dict[str, str]:
       {r4('partition_skew_score')} AS ctx_actual_skew, {miss('partition_skew_score')},
       partition_count AS ctx_partition_count, '{texts.HOT_PARTITION_ADVICE}' AS ctx_recommendation,
       'ZSCORE' AS ctx_model_type FROM lowskew"""
+    for name, zscored, found in (
+        ("ar_lag_up", "zscore_lag_up", "arlag"),
+        ("ar_speed_down", "zscore_speed_down", "arspeed"),
+        ("ar_hot_partition", "zscore_hot_partition", "arskew"),
+    ):
+        columns = q[zscored].rsplit(" FROM ", 1)[0]
+        q[name] = f"{columns.replace("'ZSCORE'", "'AR'")} FROM {found}"
     q["all_alerts"] = f"""SELECT {_ALERT} FROM (
       SELECT {_ALERT_COLUMNS} FROM alerts UNION ALL SELECT {_ALERT_COLUMNS} FROM spikes
       UNION ALL SELECT {_ALERT_COLUMNS} FROM inactive UNION ALL SELECT {_ALERT_COLUMNS} FROM storms

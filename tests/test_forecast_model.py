@@ -6,6 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lagwatch.functions import arima
+from lagwatch.operators import forecast
+from tables import at
 
 SETTINGS = {"p": 3, "d": 1, "q": 2, "s": 12, "window": 100}
 
@@ -60,3 +62,51 @@ def test_no_moving_average_terms():
     rng = np.random.default_rng(2)
     scores, _ = arima.detect_series(rng.normal(0, 1, 200), 2, 0, 0, 0, 80)
     assert np.isfinite(scores[80:]).all()
+
+
+@pytest.mark.parametrize(("p", "d", "rows"), [(3, 1, 100), (2, 1, 20), (2, 0, 30), (1, 1, 12)])
+def test_window_regression_agrees_with_the_numpy_fit(spark, p, d, rows):
+    rng = np.random.default_rng(p * 10 + d)
+    series = {
+        "noise": np.round(rng.normal(500, 40, 260), 2),
+        "walk": np.round(5_000 + np.cumsum(rng.normal(0, 30, 260)), 2),
+        "season": np.round(1_000 + 300 * np.sin(np.arange(260) / 3) + rng.normal(0, 5, 260), 2),
+    }
+    table = spark.createDataFrame(
+        [("c", name, at(10 * i), float(v)) for name, values in series.items() for i, v in enumerate(values)],
+        "cluster_id string, consumer_group string, event_time timestamp, v double",
+    )
+    found = forecast.forecast(
+        table, "v", p=p, d=d, training_window=rows, threshold=0.2, algorithm="AR", chunk_rows=64
+    )
+    by_group = {}
+    for r in found.orderBy("event_time").collect():
+        by_group.setdefault(r.consumer_group, []).append(r.anomaly_data)
+    for name, values in series.items():
+        scores, ahead = arima.detect_series(values, p, d, 0, 0, rows)
+        got = by_group[name]
+        assert len(got) == len(values)
+        assert all(g.prediction is None and g.anomaly_score is None and not g.is_anomaly for g in got[:rows])
+        assert [g.prediction for g in got[rows:]] == pytest.approx(list(ahead[rows:]), rel=1e-5)
+        assert [g.anomaly_score for g in got[rows:]] == pytest.approx(list(scores[rows:]), rel=1e-4, abs=1e-6)
+        assert [g.is_anomaly for g in got[rows:]] == [g.anomaly_score > 0.2 for g in got[rows:]]
+
+
+def test_window_regression_on_exact_series(spark):
+    ramp, flat = np.arange(60.0) * 3, np.full(60, 7.0)
+    flat[50] = 9.0
+    rows = [("c", name, at(10 * i), float(v)) for name, s in (("ramp", ramp), ("flat", flat)) for i, v in enumerate(s)]
+    table = spark.createDataFrame(rows, "cluster_id string, consumer_group string, event_time timestamp, v double")
+    found = forecast.forecast(table, "v", p=2, d=1, training_window=20, algorithm="AR").collect()
+    scores = {(r.consumer_group, r.event_time): r.anomaly_data for r in found}
+    assert all(scores["ramp", at(10 * i)].anomaly_score == 0 for i in range(20, 60))
+    assert scores["ramp", at(590)].prediction == pytest.approx(177)
+    assert [scores["flat", at(10 * i)].anomaly_score for i in (20, 49, 50)] == [0, 0, 1]
+
+
+def test_window_regression_refuses_what_it_cannot_fit(spark):
+    table = spark.createDataFrame([], "cluster_id string, consumer_group string, event_time timestamp, v double")
+    for settings_ in ({"d": 2}, {"p": 3, "training_window": 8}):
+        with pytest.raises(ValueError, match="AR takes"):
+            forecast.forecast(table, "v", algorithm="AR", **settings_)
+    assert forecast.forecast(table, "v", algorithm="AR").isEmpty()
