@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagwatch import schemas
 from lagwatch.functions import texts
 from lagwatch.functions.expr import bucket, severity_class
 from lagwatch.operators import timeline as tl
+from lagwatch.session import stage_table
 
 def as_alerts(df: DataFrame) -> DataFrame:
     """Project and cast to the alert table's schema."""
@@ -87,35 +88,66 @@ def with_severity_class(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("severity_class", severity_class(F.col("severity")))
 
 
+def _presence(groups: DataFrame, lookback: float, chunk_seconds: int) -> DataFrame:
+    """(topic, consumer_group, _from, _to): when a group has an alert in the trailing window, in microseconds.
+
+    Alerts no further apart than the window make one interval. Intervals end at the chunk, so that a group
+    of any length is spread; those of neighbouring chunks may overlap.
+    """
+    reach = int(lookback * tl.SECOND)
+    timed = groups.where(F.col("consumer_group").isNotNull()).withColumn(tl.US, F.unix_micros("alert_time"))
+    chunked = timed.withColumn(tl.CHUNK, bucket(F.col(tl.US), chunk_seconds * tl.SECOND))
+    window = tl.over(["topic", "consumer_group"])
+    before = F.lag(tl.US).over(window)
+    opened = chunked.withColumn("_opens", (before.isNull() | (F.col(tl.US) - before > reach)).cast("int"))
+    island = F.sum("_opens").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        opened.withColumn("_island", island)
+        .groupBy("topic", "consumer_group", tl.CHUNK, "_island")
+        .agg(F.min(tl.US).alias("_from"), (F.max(tl.US) + reach).alias("_to"))
+        .drop(tl.CHUNK, "_island")
+    )
+
+
 def correlate_alerts(
     alerts: DataFrame, lookback: float = 300, n: int = 3, chunk_seconds: int = 3600
 ) -> DataFrame:
     """Topics with at least ``n`` alerts in the trailing window, one row per (topic, time).
 
     The finding depends on topic and time only, so it is not repeated for each alert: alerts join
-    it on those two columns. Alerts are first reduced to one row per (topic, time) with their
-    count and set of groups; the window then runs on those.
+    it on those two columns. Alerts are first reduced to one row per (topic, time, group), written once.
+    Moments are counted on their chunks; those that qualify meet the groups' presence intervals on
+    (topic, slice of one window's length), so the rows are the moments times their groups.
     """
-    moments = alerts.groupBy("topic", "alert_time").agg(
-        F.count(F.lit(1)).alias("_n"), F.collect_set("consumer_group").alias("_groups")
+    groups = stage_table(
+        alerts.groupBy("topic", "alert_time", "consumer_group").agg(F.count(F.lit(1)).alias("_n")), "alert_groups"
     )
+    moments = groups.groupBy("topic", "alert_time").agg(F.sum("_n").alias("_n"))
     spread = tl.spread_time(moments, "alert_time", chunk_seconds, before=lookback)
-    window = tl.over(["topic"])
-    count = tl.trailing_sum(F.col("_n"), window, lookback)
-    counted = spread.withColumn("recent_alerts", count).withColumn(
-        "correlated_groups",
-        F.when(
-            F.col("recent_alerts") >= n,
-            F.array_sort(
-                F.array_distinct(
-                    F.flatten(F.collect_list("_groups").over(tl.seconds_range(window, lookback)))
-                )
-            ),
-        ),
+    count = tl.trailing_sum(F.col("_n"), tl.over(["topic"]), lookback)
+    counted = spread.withColumn("recent_alerts", count).where(F.col("recent_alerts") >= n)
+
+    width = max(int(lookback * tl.SECOND), 1)
+    asked = counted.where(tl.OWN).select(
+        "topic", "alert_time", "recent_alerts", tl.US, bucket(F.col(tl.US), width).alias("_slice")
+    )
+    present = _presence(groups, lookback, chunk_seconds).select(
+        F.col("topic").alias("_topic"),
+        "consumer_group",
+        "_from",
+        "_to",
+        F.explode(F.sequence(bucket(F.col("_from"), width), bucket(F.col("_to"), width))).alias("_part"),
+    )
+    met = asked.join(
+        present,
+        F.col("topic").eqNullSafe(F.col("_topic"))
+        & (F.col("_slice") == F.col("_part"))
+        & F.col(tl.US).between(F.col("_from"), F.col("_to")),
+        "left",
     )
     return (
-        tl.own_rows(counted.where(F.col("recent_alerts") >= n))
-        .select("topic", "alert_time", "recent_alerts", "correlated_groups")
+        met.groupBy("topic", "alert_time", "recent_alerts")
+        .agg(F.array_sort(F.collect_set("consumer_group")).alias("correlated_groups"))
         .withColumns(
             {
                 "correlation_type": F.lit(texts.SAME_TOPIC),

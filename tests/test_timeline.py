@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from tables import START, same
+from tables import at, START, same
 
 from lagwatch.operators import alerts, baseline, correlate, forecast, rules, velocity
 from lagwatch.operators import timeline as tl
@@ -219,3 +219,36 @@ def test_clusters_are_separate_timelines(spark):
     for cluster in ("a", "b"):
         alone |= values(polls.where(F.col("cluster_id") == cluster))
     assert values(polls) == alone and len(alone) == 12
+
+
+@pytest.mark.parametrize(("lookback", "chunk"), [(60, 100), (120, 300), (120, 100_000), (7, 3_600)])
+def test_correlated_groups_against_brute_force(spark, lookback, chunk):
+    """Runs and gaps of many groups; null groups count as alerts but are no group, null topics are one topic."""
+    rng = random.Random(lookback)
+    rows = []
+    for topic in ("a", "b", None):
+        for group in ("g1", "g2", "g3", "g4", None):
+            now = rng.randrange(50)
+            for _ in range(40):
+                now += rng.choice((1, 5, 20, lookback, lookback + 1, 5 * lookback))
+                rows += [(topic, group, at(now))] * rng.choice((1, 1, 2))
+    table = spark.createDataFrame(rows, "topic string, consumer_group string, alert_time timestamp")
+    want = {}
+    for topic, _, now in rows:
+        near = [g for t, g, a in rows if t == topic and 0 <= (now - a).total_seconds() <= lookback]
+        if len(near) >= 3:
+            want[topic, now] = (len(near), sorted({g for g in near if g}))
+    found = alerts.correlate_alerts(table, lookback=lookback, chunk_seconds=chunk).collect()
+    assert len(found) == len(want)
+    assert {(r.topic, r.alert_time): (r.recent_alerts, list(r.correlated_groups)) for r in found} == want
+
+
+def test_correlated_groups_join_by_slices(spark):
+    """No list over a frame: groups come from an equi-join, a long run of alerts is few intervals."""
+    rows = [("t", "g", at(10 * i)) for i in range(2_000)]
+    table = spark.createDataFrame(rows, "topic string, consumer_group string, alert_time timestamp")
+    runs = alerts._presence(table, 300, 3_600)
+    assert runs.count() == 6
+    text = alerts.correlate_alerts(table)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in text and "NestedLoop" not in text and "Cartesian" not in text
+    assert "collect_set" not in "".join(line for line in text.splitlines() if "Window [" in line)
