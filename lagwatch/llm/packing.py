@@ -136,14 +136,14 @@ def _pack_partition(lengths: np.ndarray, capacity: int, last: bool, most_release
     return bins, offsets, stays, gap
 
 
-def _packer(columns: list[str], capacity: int, last: bool, turn: int, most_released: int):
+def _packer(columns: list[str], length: str, capacity: int, last: bool, turn: int, most_released: int):
     """The function that packs one partition, given as an Arrow table."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.select(columns)
         order = [f.name for f in table.schema if pa.types.is_integer(f.type) or pa.types.is_string(f.type)]
         table = table.sort_by([(c, "ascending") for c in order])
-        lengths = table["length"].to_numpy().astype(np.int64)
+        lengths = table[length].to_numpy().astype(np.int64)
         bins, offsets, stays, gap = _pack_partition(lengths, capacity, last, most_released)
         first = (turn << 56) + (key[0].as_py() << 28)
         for name, values in (
@@ -172,11 +172,12 @@ def pack(
     already called like the new ones are replaced. An empty input gives an empty result.
     """
     pieces = pieces.drop("sequence_id", "offset", "certified")
-    waiting = stage(pieces, name)
-    columns = waiting.columns
+    names, columns = pieces.columns, [f"c{i}" for i in range(len(pieces.columns))]  # the caller's may clash
+    length = columns[names.index("length")]
+    waiting = stage(pieces.toDF(*columns), name)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in waiting.schema)
     schema += ", sequence_id long, offset long, certified boolean, _stays boolean"
-    wrong = waiting.filter(f"length is null or length < 1 or length > {capacity}").limit(1).count()
+    wrong = waiting.filter(f"{length} is null or {length} < 1 or {length} > {capacity}").limit(1).count()
     if wrong:
         raise ValueError(f"lengths must be from 1 to {capacity}")
     parts = max(1, -(-waiting.count() // per_task))
@@ -187,7 +188,7 @@ def pack(
 
         salt = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(parts)).cast("int")
         packed = waiting.withColumn("_part", salt).groupBy("_part").applyInArrow(
-            _packer(columns, capacity, last, turn, most_released), schema
+            _packer(columns, length, capacity, last, turn, most_released), schema
         )
         packed = stage(packed, f"{name}-{turn}")
         done.append(packed.filter("_stays").drop("_stays"))
@@ -198,7 +199,7 @@ def pack(
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out.toDF(*names, "sequence_id", "offset", "certified")
 
 
 def assemble(packed: DataFrame) -> DataFrame:

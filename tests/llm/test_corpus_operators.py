@@ -94,6 +94,18 @@ def test_tokens_equal_the_library(spark, edge, small):
             assert all(len(v) == 4 * 4096 for _, v in parts[:-1])
 
 
+def test_packing_carries_columns_called_like_its_own(spark):
+    rows = [(i, 100 + i % 3_900, f"p{i}", i % 2 == 0, "old", "x.y") for i in range(300)]
+    given = spark.createDataFrame(
+        rows, "doc_id long, length int, _part string, _STAYS boolean, offset string, `a.b` string"
+    )
+    packed = packing.pack(given, per_task=40, name="clash")
+    assert set(packed.columns) == {"doc_id", "length", "_part", "_STAYS", "a.b", "sequence_id", "offset", "certified"}
+    found = {(r.doc_id, r.length, r["_part"], r["_STAYS"], r["a.b"]) for r in packed.collect()}
+    assert found == {(d, n, part, stays, dotted) for d, n, part, stays, _, dotted in rows}
+    assert packed.schema["offset"].dataType.simpleString() == "bigint"
+
+
 def test_packing_is_gapless_and_near_the_bound(edge, small, none):
     for docs in (edge, small):
         packed = packing.pack(packing.tokenize_pieces(docs, queries.WORD_BPE), per_task=40)
