@@ -380,7 +380,7 @@ def ar_speed_down(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ar_hot_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = forecast.forecast_hot_partition(inputs.metrics(spark, sf_dir), "AR", **SENSITIVE)
+    found = forecast.forecast_hot_partition(inputs.metrics(spark, sf_dir), "AR")
     return open_context(found, FORECAST_SKEW_CONTEXT)
 
 

@@ -208,7 +208,7 @@ _CTES = {
         "read_speed < m AND (m - read_speed) / m > 0.2",
     ),
     "arskew": regression(
-        "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 2, 20, 0.1,
+        "arima_hot_partition", "partition_skew_score", "partition_count > 1 AND partition_skew_score > 0", 2, 80, 0.6,
         "partition_skew_score > m AND partition_skew_score > 2.0",
     ),
     "topics": """SELECT *, count(DISTINCT consumer_group) FILTER (WHERE is_falling_behind
