@@ -10,7 +10,9 @@ Seeds are joined and extended without pairs of documents:
 1. A stretch whose whole span (all words that its windows touch) also lies in a document with a smaller
    id repeats as a whole: the match extends both ways over the span.
 2. Where one anchor stands in different spans, the first document of each span extends window by window:
-   windows meet on (anchor, window hash) and those whose first document is smaller repeat.
+   windows meet on (anchor, window hash) and those whose first document is smaller repeat. Equal windows of
+   one document that overlap or touch (a word or phrase said over and over) are one row from the first word
+   to the last: they repeat together or not at all, and cover just these words.
 
 Repeating windows of a document are merged into maximal repeats. A window hash and its anchor are
 independent 64-bit values, so equality stands for equal words up to 2^-128.
@@ -93,7 +95,7 @@ def _stretches(length: int, seed: int):
 
 
 def _windows(length: int, seed: int):
-    kinds = {"anchor": pa.int64(), "hash": pa.int64(), "doc": pa.int64(), "mark": pa.int64(), "start": pa.int32()}
+    kinds = {"anchor": pa.int64(), "hash": pa.int64(), "doc": pa.int64(), "mark": pa.int64(), "start": pa.int32(), "stop": pa.int32()}
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 250):
@@ -104,11 +106,26 @@ def _windows(length: int, seed: int):
             begin, n = (pairs.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             row = np.repeat(np.arange(len(n)), n)
             start = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            at = w.first[text[row]] + start
-            doc, mark = (batch.column(i).to_numpy(zero_copy_only=False)[text[row]] for i in (0, 1))
-            yield _emit({"anchor": w.anchors[at], "hash": w.rolling(at, at + length), "doc": doc, "mark": mark, "start": start}, kinds)
+            text = text[row]
+            at = w.first[text] + start
+            anchor, same = w.anchors[at], w.rolling(at, at + length)
+            if not len(at):
+                continue
+            # starts ascend within a text, and the sort is stable
+            order = np.argsort(same + text.astype(np.uint64) * np.uint64(Rolling.BASE), kind="stable")
+            anchor, same, text, start = anchor[order], same[order], text[order], start[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (same[1:] != same[:-1]) | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+            new[1:] |= np.diff(start) > length
+            head = np.flatnonzero(new)
+            stop = start[np.append(head[1:], len(at)) - 1] + length
+            doc, mark = (batch.column(i).to_numpy(zero_copy_only=False)[text[head]] for i in (0, 1))
+            yield _emit(
+                {"anchor": anchor[head], "hash": same[head], "doc": doc, "mark": mark, "start": start[head], "stop": stop},
+                kinds,
+            )
 
-    return run, "anchor long, hash long, doc long, mark long, start int"
+    return run, "anchor long, hash long, doc long, mark long, start int, stop int"
 
 
 def _first_holder(rows: DataFrame, keys: list[str], name: str, *extra: Column) -> DataFrame:
@@ -142,12 +159,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, name: str =
     judged = stage(salted_join(unlike, spans.drop("n"), ["anchor", "span"], "inner", hot), f"{name}-judged")
     whole = judged.filter("doc > holder").select(*KEY, "start", stop.alias("stop"))
 
-    asked = judged.filter("doc = holder").groupBy(*KEY).agg(F.collect_set(F.struct("start", "windows")).alias("asked"))
+    asked = F.sort_array(F.collect_set(F.struct("start", "windows"))).alias("asked")
+    asked = judged.filter("doc = holder").groupBy(*KEY).agg(asked)
     run, schema = _windows(length, seed)
     windows = keyed.join(asked, KEY).select(*KEY, "text", "asked").mapInArrow(run, schema)
     windows = stage(windows, f"{name}-windows")
     same = _first_holder(windows, ["anchor", "hash"], f"{name}-same")
-    single = same.filter("doc > holder").select(*KEY, "start", (F.col("start") + length).alias("stop"))
+    single = same.filter("doc > holder").select(*KEY, "start", "stop")
     ranges = (
         sure.unionByName(whole)
         .unionByName(single)

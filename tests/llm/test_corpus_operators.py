@@ -222,28 +222,52 @@ def test_components_on_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(150)}, 5000: 5000}
 
 
+def kept_words(rows):
+    """Rows of op5 by its definition, window by window."""
+    holder = {}
+    split = [(2**63 if r.doc_id is None else r.doc_id, r.doc_id, words(r.text)) for r in rows]
+    for key, _, w in split:
+        for i in range(len(w) - 49):
+            run = tuple(w[i : i + 50])
+            holder[run] = min(holder.get(run, key), key)
+    want = Counter()
+    for key, i, w in split:
+        gone = {at + j for at in range(len(w) - 49) if holder[tuple(w[at : at + 50])] < key for j in range(50)}
+        kept = " ".join(x for at, x in enumerate(w) if at not in gone)
+        want[(i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())] += 1
+    return want
+
+
+def op5_rows(docs, **parameters):
+    return Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs, **parameters).collect())
+
+
 def test_substrings(edge, small, none):
     for docs in (edge, small):
-        rows = docs.collect()
-        holder = {}
-        split = [(2**63 if r.doc_id is None else r.doc_id, r.doc_id, words(r.text)) for r in rows]
-        for key, _, w in split:
-            for i in range(len(w) - 49):
-                run = tuple(w[i : i + 50])
-                holder[run] = min(holder.get(run, key), key)
-        want = Counter()
-        for key, i, w in split:
-            gone = {at + j for at in range(len(w) - 49) if holder[tuple(w[at : at + 50])] < key for j in range(50)}
-            kept = " ".join(x for at, x in enumerate(w) if at not in gone)
-            want[(i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())] += 1
-        got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs).collect())
-        assert got == want
+        assert op5_rows(docs) == kept_words(docs.collect())
     changed = substring_dedup.rewrite(edge)
     assert changed.columns == edge.columns and changed.count() == len(TEXTS)
     assert {r.doc_id: r.text for r in changed.collect()}[9] == "x"
     assert substring_dedup.digests(none).count() == 0
 
 
+def test_substrings_of_repeated_phrases(spark):
+    """A phrase said over and over makes one row for each of its windows, however often it is said."""
+    texts = ["a " + "la " * 300 + "b", "c " + "la " * 450 + "d e " + "la " * 60, "la " * 90 + "z " * 70 + "la " * 200]
+    for period in (2, 7, 49, 50, 51, 53):
+        phrase = [f"p{period}w{i}" for i in range(period)]
+        for times, head in ((5, "x"), (8, "y z"), (3, "")):
+            texts.append(" ".join([head, *phrase * times, "apart", *phrase[: period // 2], *phrase * 2]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert op5_rows(docs) == kept_words(docs.collect())
+
+    run, schema = substring_dedup._windows(50, 10)
+    for n in (300, 3_000):
+        asked = [(1, 1, "la " * n, [(0, n - 49)])]
+        rows = spark.createDataFrame(asked, "doc long, mark long, text string, asked array<struct<start:int,windows:int>>")
+        assert [(r.start, r.stop) for r in rows.mapInArrow(run, schema).collect()] == [(0, n)]
+
+
 def fingerprint(text):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not w:
