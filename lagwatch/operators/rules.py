@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -218,6 +219,10 @@ def rebalance_storm(metrics: DataFrame, bucket: int = 180, gate: str = "mod", **
     return first_in_bucket(found, bucket) if gate == "first_in_bucket" else found
 
 
+#: Of measures that are averaged without error: fourteen decimals, as many as a double holds; sums of ten million.
+_EXACT, _EXACT_SUM = "decimal(26,14)", "decimal(33,14)"
+
+
 def moving_avg_spike(
     metrics: DataFrame,
     value: str = "read_speed",
@@ -230,12 +235,23 @@ def moving_avg_spike(
     """Any measure above ``factor`` times its mean of the last ``rows`` rows and itself.
 
     Unless named, the detection type is that of the measure: a spike of ``cpu`` is a CPU_SPIKE.
+    A row at exactly ``factor`` times the mean is no spike, so sums and the comparison are decimals; frames
+    that hold a value too large for them (or not a number) are compared as doubles.
     """
     numbered = tl.number_by_time(metrics.select(*keys, "event_time", value), keys, "event_time")
     spread = tl.spread_rows(numbered, tl.ROW, block, rows)
     window = tl.Window.partitionBy(*keys, tl.CHUNK).orderBy(tl.ROW).rowsBetween(-rows, 0)
-    averaged = spread.withColumn("moving_avg", F.avg(value).over(window))
-    return tl.own_rows(averaged, tl.ROW).where(F.col(value) > F.col("moving_avg") * factor).select(
+    spread = spread.withColumn("_exact", F.col(value).try_cast(_EXACT))
+    counted = {"_n": F.count(value).over(window), "_exact_n": F.count("_exact").over(window)}
+    averaged = spread.withColumns(
+        {"_sum": tl.trailing_rows("_exact", window, rows), "_double": F.avg(value).over(window), **counted}
+    )
+    exact = F.col("_n") == F.col("_exact_n")
+    mean = F.when(exact, F.try_divide(F.col("_sum").cast("double"), F.col("_n"))).otherwise(F.col("_double"))
+    above = F.col("_exact") * F.col("_n").cast("decimal(7,0)") > F.col("_sum").cast(_EXACT_SUM) * F.lit(Decimal(str(factor)))
+    spike = F.when(exact, above).otherwise(F.col(value) > F.col("_double") * factor)
+    averaged = averaged.withColumn("moving_avg", mean).where(spike)
+    return tl.own_rows(averaged, tl.ROW).select(
         *keys,
         F.lit(detection_type or f"{value.upper()}_SPIKE").alias("detection_type"),
         F.lit("critical").alias("severity"),

@@ -90,6 +90,13 @@ def trailing_sum(value: Column, window, seconds: float) -> Column:
     return F.sum(value).over(everything) - F.coalesce(F.sum(value).over(expired), F.lit(0))
 
 
+def trailing_rows(value: str, window, rows: int) -> Column:
+    """Sum over the last ``rows`` rows and the current one, as :func:`trailing_sum`; for exact types."""
+    everything = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expired = window.rowsBetween(Window.unboundedPreceding, -rows - 1)
+    return F.coalesce(F.sum(value).over(everything), F.lit(0)) - F.coalesce(F.sum(value).over(expired), F.lit(0))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

@@ -292,3 +292,13 @@ def test_telemetry_grains(spark):
     ]
     (hour,) = telemetry.topic_telemetry(samples, "PT1H").collect()
     assert hour.received_bytes == 13.0
+
+
+def test_a_row_at_exactly_the_factor_is_no_spike(spark):
+    speeds = [6.8, 29.1, 43.3, 41.0, 39.1, 3.2, 65.0]  # sum 227.5, twice the mean is 65.0; summed as doubles it is less
+    metrics = metric_rows(spark, [{"t": 10 * i, "read_speed": s} for i, s in enumerate(speeds)])
+    assert rules.moving_avg_spike(metrics).where(F.col("event_time") == F.lit(at(10 * (len(speeds) - 1)))).isEmpty()
+    above = metric_rows(spark, [{"t": 10 * i, "read_speed": s} for i, s in enumerate([*speeds[:-1], speeds[-1] + 0.1])])
+    assert rules.moving_avg_spike(above).where(F.col("event_time") == F.lit(at(10 * (len(speeds) - 1)))).count() == 1
+    huge = metric_rows(spark, [{"t": 10 * i, "read_speed": s * 1e30} for i, s in enumerate([1.0, 1.0, 9.0])])
+    assert [r.moving_avg for r in rules.moving_avg_spike(huge).collect()] == [pytest.approx(11e30 / 3)]
