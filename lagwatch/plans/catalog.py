@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -572,63 +574,98 @@ def telemetry_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------------------------
 
-def _halves(table: DataFrame, time: str, late: int) -> list[DataFrame]:
-    """The rows that arrive earlier and later, if each arrives up to ``late`` seconds after its time."""
-    micros = F.unix_micros(time)
-    low, high = table.agg(F.min(micros), F.max(micros)).first()
-    if low is None:
-        return [table]
-    arrives = micros + F.pmod(F.xxhash64(*table.columns), F.lit(late * 1_000_000))
-    early = arrives <= (low + high) // 2
-    return [table.where(early), table.where(~early)]
+#: Rows that arrive in one part of a table. Keyed state works its part off in Python, one task a key.
+KEYED_ROWS, JVM_ROWS = 1_000_000, 10_000_000
+ONE_PART = {"maxFilesPerTrigger": "1"}
 
 
-def _feed(
-    tables_by_time: list[tuple[DataFrame, str, str]], begin: Callable[[], StreamingQuery], late: int = 20
-) -> None:
-    """Give a query its input in two parts: it ends after the first and is resumed.
+def _arrivals(found: list[tuple[DataFrame, str, str]], late: int, rows: int) -> tuple[int, list[DataFrame]]:
+    """Number of parts, and the tables with the part each row arrives in, up to ``late`` seconds after its time.
 
-    Rows are out of order by up to ``late`` seconds. Rows of the last watermark delay stay in the state, as they would on a stream that goes on.
+    All tables are cut at the same moments, into parts of about ``rows`` rows of them together.
     """
-    for parts in zip(*[_halves(table, time, late) for table, time, _ in tables_by_time], strict=True):
-        for part, (_, _, source) in zip(parts, tables_by_time, strict=True):
-            part.write.mode("append").parquet(source)
-        begin().awaitTermination()
+    spark = found[0][0].sparkSession
+    timed = []
+    for table, time, _ in found:
+        arrives = F.unix_micros(time) + F.pmod(F.xxhash64(*table.columns), F.lit(late * 1_000_000))
+        timed.append(table.withColumn("_arrives", F.coalesce(arrives.cast("double"), F.lit(0.0))))
+    moments = timed[0].select("_arrives")
+    for other in timed[1:]:
+        moments = moments.unionByName(other.select("_arrives"))
+    parts = max(2, -(-moments.count() // rows))
+    cuts = sorted(set(moments.approxQuantile("_arrives", [i / parts for i in range(1, parts)], 0.1 / parts))) or [0.0]
+    cutter = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_arrives", outputCol="_part")
+    made = []
+    for rows_in in timed:
+        path = scratch_path(spark, "arrivals")
+        dealt = cutter.transform(rows_in).withColumn("_part", F.col("_part").cast("int")).drop("_arrives")
+        dealt.repartition("_part").write.partitionBy("_part").parquet(path)
+        schema = T.StructType([*rows_in.drop("_arrives").schema.fields, T.StructField("_part", T.IntegerType())])
+        made.append(spark.read.schema(schema).parquet(path))
+    return len(cuts) + 1, made
 
 
-@query
-def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition samples as a stream to complete metric records, with a restart in between."""
+def _feed(
+    found: list[tuple[DataFrame, str, str]],
+    begin: Callable[[], StreamingQuery],
+    late: int = 20,
+    rows: int = KEYED_ROWS,
+    restart: bool = True,
+    close: bool = False,
+) -> None:
+    """Give a query its input in the order of arrival, one file a part; half-way it ends and is resumed.
+
+    Rows are out of order by up to ``late`` seconds. Rows of the last watermark delay stay in the state, as they
+    would on a stream that goes on; with ``close`` it does go on: one later row follows, which stays there itself.
+    """
+    parts, tables_in = _arrivals(found, late, rows)
+    for part in range(parts):
+        if restart and part == parts // 2:
+            begin().awaitTermination()
+        for table, (_, _, source) in zip(tables_in, found, strict=True):
+            table.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(source)
+    if close:
+        for table, time, source in found:
+            newest = table.agg(F.max(time)).first()[0]
+            if newest is not None:
+                later = table.limit(1).withColumn(time, F.lit(newest) + F.expr("INTERVAL 1 HOUR"))
+                later.coalesce(1).write.mode("append").parquet(source)
+    begin().awaitTermination()
+
+
+def _metric_records(spark: SparkSession, sf_dir: str, **feeding: bool) -> DataFrame:
     samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
     source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics")
 
     def begin() -> StreamingQuery:
-        stream = tables.stream_table(spark, source, samples.schema)
+        stream = tables.stream_table(spark, source, samples.schema, options=ONE_PART)
         return keyed.start(keyed.metric_records(stream), "event_time", root)
 
-    _feed([(samples, "poll_time", source)], begin)
+    _feed([(samples, "poll_time", source)], begin, **feeding)
     return present(stages.output(spark, root, schemas.METRICS_FLATTENED))
 
 
+@query
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition samples as a stream to complete metric records, with a restart in between."""
+    return _metric_records(spark, sf_dir)
+
+
 @query
 def stream_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records where the whole input is there at the start."""
-    samples = stage_table(inputs.consumer_lag(spark, sf_dir), "consumer_lag")
-    source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics")
-    samples.write.parquet(source)
-    stream = tables.stream_table(spark, source, samples.schema)
-    keyed.start(keyed.metric_records(stream), "event_time", root).awaitTermination()
-    return present(stages.output(spark, root, schemas.METRICS_FLATTENED))
+    """The same records where the whole input is there at the start, down to the last poll."""
+    return _metric_records(spark, sf_dir, restart=False, close=True)
 
 
 @query
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric rows as a stream to the alerts of the window and correlation rules."""
+    """Metric rows as a stream to the alerts of the window and correlation rules, down to the last row."""
     table = stage_table(inputs.metrics(spark, sf_dir).select(*jobs.FLAT_COLUMNS), "metrics")
     source, root = scratch_path(spark, "rules_in"), scratch_path(spark, "rules")
     _feed(
         [(table, "event_time", source)],
-        lambda: stages.start(jobs.rules_stage(), tables.stream_table(spark, source, table.schema), root),
+        lambda: stages.start(jobs.rules_stage(), tables.stream_table(spark, source, table.schema, options=ONE_PART), root),
+        rows=JVM_ROWS,
     )
     return present(stages.output(spark, root, schemas.ALERTS).drop("context"))
 
@@ -640,7 +677,7 @@ def stream_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = scratch_path(spark, "correlation_in"), scratch_path(spark, "correlation")
 
     def begin() -> StreamingQuery:
-        stream = tables.stream_table(spark, source, table.schema)
+        stream = tables.stream_table(spark, source, table.schema, options=ONE_PART)
         return keyed.start(keyed.correlation(stream), "alert_time", root)
 
     _feed([(table, "event_time", source)], begin)
@@ -670,7 +707,8 @@ def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def begin() -> StreamingQuery:
         rows = keyed.newest_enrichment(
-            tables.stream_table(spark, left, found.schema), tables.stream_table(spark, right, enriched.schema)
+            tables.stream_table(spark, left, found.schema, options=ONE_PART),
+            tables.stream_table(spark, right, enriched.schema, options=ONE_PART),
         )
         return keyed.start(rows, "alert_time", root)
 
@@ -685,7 +723,7 @@ def stream_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = scratch_path(spark, "memory_in"), scratch_path(spark, "memory")
 
     def begin() -> StreamingQuery:
-        return keyed.start(keyed.compacted(tables.stream_table(spark, source, log.schema), "time"), "time", root)
+        return keyed.start(keyed.compacted(tables.stream_table(spark, source, log.schema, options=ONE_PART), "time"), "time", root)
 
     _feed([(log, "time", source)], begin)
     return alerts.compact(stages.output(spark, root, keyed.CHANGES).drop("time"))
@@ -698,10 +736,10 @@ def sink_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = scratch_path(spark, "metrics_in"), scratch_path(spark, "metrics_sink")
 
     def begin() -> StreamingQuery:
-        stream = tables.stream_table(spark, source, table.schema)
+        stream = tables.stream_table(spark, source, table.schema, options=ONE_PART)
         return sinks.start(stream, "event_time", root, spread=["consumer_group"])
 
-    _feed([(table, "event_time", source)], begin)
+    _feed([(table, "event_time", source)], begin, rows=JVM_ROWS)
     return present(sinks.scan(spark, f"{root}/table", table.schema, "event_time"))
 
 
@@ -713,11 +751,11 @@ def sink_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = scratch_path(spark, "alerts_in"), scratch_path(spark, "alerts_sink")
 
     def begin() -> StreamingQuery:
-        stream = tables.stream_table(spark, source, table.schema)
+        stream = tables.stream_table(spark, source, table.schema, options=ONE_PART)
         found = jobs.deduplicated(rules.threshold_lag_up(stream))
         return sinks.start(found, "alert_time", root)
 
-    _feed([(twice, "event_time", source)], begin, late=8)
+    _feed([(twice, "event_time", source)], begin, late=8, rows=JVM_ROWS)
     return open_context(sinks.scan(spark, f"{root}/table", schemas.ALERTS, "alert_time"), LAG_UP_CONTEXT)
 
 
@@ -728,12 +766,12 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = scratch_path(spark, "framed_in"), scratch_path(spark, "checked")
 
     def begin() -> StreamingQuery:
-        stream = tables.stream_table(spark, source, records.schema)
+        stream = tables.stream_table(spark, source, records.schema, options=ONE_PART)
         return sinks.start_checked(
             stream, schemas.METRICS_SOURCE, schemas.METRICS_SOURCE_REQUIRED, "event_time", root, framed=True
         )
 
-    _feed([(records, "event_time", source)], begin)
+    _feed([(records, "event_time", source)], begin, rows=JVM_ROWS)
     kept = T.StructType([f for f in records.schema if f.name != "value"] + schemas.METRICS_SOURCE.fields)
     valid = sinks.scan(spark, f"{root}/table", kept, "event_time")
     reasoned = T.StructType([*records.schema.fields, T.StructField("reason", T.StringType())])
