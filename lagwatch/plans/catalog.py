@@ -666,6 +666,7 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(table, "event_time", source)],
         lambda: stages.start(jobs.rules_stage(), tables.stream_table(spark, source, table.schema, options=ONE_PART), root),
         rows=JVM_ROWS,
+        close=True,
     )
     return present(stages.output(spark, root, schemas.ALERTS).drop("context"))
 
