@@ -8,7 +8,7 @@ size is bounded by the operator's window, never by the length of the history.
 
 * :func:`metric_records`: previous poll and 24 hours of lags per (cluster, group);
 * :func:`correlation`: last time per group of a topic, in the order of these times;
-* :func:`newest_enrichment`: one alert with its newest enrichment per alert id;
+* :func:`newest_enrichment`: alerts that wait with their newest enrichment, by a bucket of alert ids;
 * :func:`compacted`: last value per key, deletes kept for a lifetime, changes as output.
 """
 
@@ -303,12 +303,13 @@ ENRICHED = T.StructType(
 
 
 def newest_enrichment(
-    alerts: DataFrame, enriched: DataFrame, delay: str = "10 seconds", within: float = 600
+    alerts: DataFrame, enriched: DataFrame, delay: str = "10 seconds", within: float = 600, buckets: int = 512
 ) -> DataFrame:
     """Alerts with the newest enrichment that comes within ``within`` seconds of event time.
 
     Every alert is emitted once, when the watermark has passed its bound: bare if nothing came. Of a
     redelivered alert the first stays. Enrichments without an alert are dropped after the same time.
+    Alert ids share ``buckets`` keys by hash, so that a call of Python serves many alerts, not one.
     """
     types = {f.name: f.dataType for f in ENRICHED}
     width = int(within * SECOND)
@@ -326,31 +327,41 @@ def newest_enrichment(
     )
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        alert, best = pickle.loads(state.get[0]) if state.exists else (None, [])
+        known = pickle.loads(state.get[0]) if state.exists else {}
         for batch in (b for b in batches if not b.empty):
             times = (batch["at"].astype("int64") // _unit(batch["at"])).tolist()
-            for at, own, more in zip(times, batch["alert"].tolist(), batch["enrichment"].tolist(), strict=True):
+            columns = (batch[c].tolist() for c in ("alert_id", "alert", "enrichment"))
+            for at, alert_id, own, more in zip(times, *columns, strict=True):
+                alert, best = known.get(alert_id, (None, []))
                 if own is not None and alert is None:
-                    alert = (at, own)
+                    known[alert_id] = ((at, own), best)
                 elif more is not None:
-                    best.append((at, json.loads(more)["diagnosis"] or "", more))
-        if alert:  # then only the newest can still be emitted
-            best = sorted(b for b in best if alert[0] <= b[0] <= alert[0] + width)[-1:]
-        start = alert[0] if alert else min((at for at, _, _ in best), default=0)
-        if start + width <= state.getCurrentWatermarkMs() * 1_000:
-            state.remove()
-            if alert:
+                    known[alert_id] = (alert, [*best, (at, json.loads(more)["diagnosis"] or "", more)])
+        watermark, waiting, due, ends = state.getCurrentWatermarkMs() * 1_000, {}, [], []
+        for alert_id, (alert, best) in known.items():
+            if alert:  # then only the newest can still be emitted
+                best = sorted(b for b in best if alert[0] <= b[0] <= alert[0] + width)[-1:]
+            end = (alert[0] if alert else min(at for at, _, _ in best)) + width
+            if end > watermark:
+                waiting[alert_id] = (alert, best)
+                ends.append(end)
+            elif alert:
                 row = json.loads(alert[1])
                 if best:
                     newest = json.loads(best[0][2])
                     row |= {k: v for k, v in newest.items() if k != "severity" or v is not None}
-                yield _typed([row], types)
-        else:
-            state.update((pickle.dumps((alert, best)),))
-            _timer(state, start + width)
+                due.append(row)
+        if waiting:
+            state.update((pickle.dumps(waiting),))
+            _timer(state, min(ends))
+        elif state.exists:
+            state.remove()
+        if due:
+            yield _typed(due, types)
 
     both = left.unionByName(right).withWatermark("at", delay)
-    return both.groupBy("alert_id").applyInPandasWithState(
+    both = both.withColumn("bucket", F.pmod(F.xxhash64("alert_id"), F.lit(buckets)))
+    return both.groupBy("bucket").applyInPandasWithState(
         step, ENRICHED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
