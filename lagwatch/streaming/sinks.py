@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lagwatch.sources import messages
 from lagwatch.streaming.keyed import run
+from lagwatch.streaming.stages import date_part
 
 DATE, BATCH = "event_date", "batch_id"
 DAYS = 7
@@ -27,12 +28,14 @@ DAYS = 7
 def write_batch(df: DataFrame, time: str, path: str, batch: int, spread: Sequence[str] = ()) -> None:
     """Replace what the table holds of this batch.
 
-    With ``spread`` rows are dealt by date, these columns and the minute: files per date stay few, and a
-    hot key is not one task.
+    Rows are dealt by date and part of the day, so that files per date stay few. With ``spread`` they are
+    dealt by date, these columns and the minute, and a hot key is not one task.
     """
     dated = df.withColumns({DATE: F.to_date(time), BATCH: F.lit(batch).cast("long")})
     if spread:
         dated = dated.repartition(F.col(DATE), *[F.col(c) for c in spread], F.minute(time))
+    else:
+        dated = dated.repartition(F.col(DATE), date_part(time))
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(DATE, BATCH).parquet(path)
 

@@ -42,6 +42,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+PARTS_OF_A_DATE = 8
+
 
 @dataclass(frozen=True)
 class Stage:
@@ -135,9 +137,15 @@ def _dates(first: int, last: int) -> list[str]:
     return [str(begin + timedelta(days=i)) for i in range((end - begin).days + 1)]
 
 
+def date_part(time: str) -> Column:
+    """The part of a date that a row is written with: a date has few files, and no date is one task."""
+    return F.pmod(F.hour(time), F.lit(PARTS_OF_A_DATE))
+
+
 def write_dated(df: DataFrame, time: str, path: str, batch: int) -> None:
     """Replace the rows of this batch; dates first, so that look-backs list few directories."""
     dated = df.withColumn("_date", F.to_date(time)).withColumn("_batch", F.lit(batch).cast("long"))
+    dated = dated.repartition(F.col("_date"), date_part(time))
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "_date", "_batch"
     ).parquet(path)
