@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,22 +69,23 @@ def lag_percentile(
     """Add lag_percentile_95_24h.
 
     Spark has no exact order statistic over a sliding frame short of collecting the frame for
-    every row, so this runs in grouped pandas on (key, chunk plus one window).
+    every row, so this runs on (key, chunk plus one window) as Arrow tables; columns that it does not read,
+    nested ones too, pass through unconverted.
     """
     width = int(seconds * tl.SECOND)
     schema = T.StructType([*df.schema.fields, T.StructField("lag_percentile_95_24h", T.DoubleType())])
     names = df.columns
 
-    def quantiles(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(tl.US, kind="stable")
-        found = sliding_quantile(
-            pdf[tl.US].to_numpy(), pdf["current_lag"].to_numpy(), width, quantile
-        )
-        own = pdf[tl.OWN].to_numpy()
-        return pdf.loc[own, names].assign(lag_percentile_95_24h=found[own])
+    def quantiles(rows: pa.Table) -> pa.Table:
+        order = np.argsort(rows[tl.US].to_numpy(), kind="stable")
+        times, values = (rows[c].to_numpy()[order] for c in (tl.US, "current_lag"))
+        found = sliding_quantile(times, values, width, quantile)
+        own = rows[tl.OWN].to_numpy()[order].astype(bool)
+        kept = rows.select(names).take(order[own])
+        return kept.append_column("lag_percentile_95_24h", pa.array(found[own], pa.float64()))
 
     spread = tl.spread_time(df, "event_time", chunk_seconds, before=seconds)
-    return spread.groupBy(*keys, tl.CHUNK).applyInPandas(quantiles, schema)
+    return spread.groupBy(*keys, tl.CHUNK).applyInArrow(quantiles, schema)
 
 
 def lag_baseline(df: DataFrame, hours: float = 24, q: float = 0.95) -> DataFrame:
