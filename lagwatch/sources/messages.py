@@ -24,7 +24,6 @@ _JSON_TYPES = {
     "integer": ["BIGINT"],
     "number": ["BIGINT", "DOUBLE", "FLOAT", "DECIMAL"],
     "boolean": ["BOOLEAN"],
-    "array": ["ARRAY"],
 }
 
 Required = Mapping[str, "str | list[Required]"]
@@ -80,51 +79,40 @@ def _members(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string, variant>")
 
 
-def _problem(value: Column, required: Required, path: str) -> Column:
-    """First thing wrong with a variant that should be an object with these members, or null.
+def _elements(value: Column) -> Column:
+    """Elements of a variant array; null for any other value."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
-    Members are looked at in the order of the table; those of array elements come after them, in
-    the order of the elements.
-    """
-    members = _members(value)
-    types = F.transform_values(
-        members, lambda _, v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-    )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.array(*[F.lit(t) for t in _JSON_TYPES["array" if isinstance(kind, list) else kind]]).alias("types"),
-            )
-            for name, kind in required.items()
-        ]
-    )
 
-    def step(state: Column, field: Column) -> Column:
-        found = state["types"][field["name"]]
-        where = F.concat(F.lit(path), field["name"])
-        problem = F.when(found.isNull(), F.concat(F.lit("missing:"), where)).when(
-            ~F.array_contains(field["types"], found), F.concat(F.lit("type:"), where)
-        )
-        return F.struct(
-            state["types"].alias("types"), F.coalesce(state["reason"], problem).alias("reason")
-        )
+def _first(checked: Column) -> Column:
+    return F.get(F.filter(checked, lambda reason: reason.isNotNull()), F.lit(0))
 
-    start = F.struct(types.alias("types"), F.lit(None).cast("string").alias("reason"))
-    own = F.aggregate(wanted, start, step, lambda state: state["reason"])
-    nested = []
+
+def _problem(members: Column, required: Required, path: str) -> Column:
+    """First thing wrong with the members of an object, or null; ``members`` is null if it is no object.
+
+    Members are looked at in the order of the table; those of array elements come after them, in
+    the order of the elements. Only the required members are looked at.
+    """
+    own, nested = [], []
     for name, kind in required.items():
+        value = members[name]
+        if isinstance(kind, list) or kind == "array":
+            fits = _elements(value).isNotNull()
+        else:
+            fits = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0).isin(_JSON_TYPES[kind])
+        own.append(
+            F.when(value.isNull(), F.lit(f"missing:{path}{name}")).when(~fits, F.lit(f"type:{path}{name}"))
+        )
         if isinstance(kind, list):
-            elements = F.try_variant_get(members[name], "$", "array<variant>")
-            inside = f"{path}{name}[]"
-            found = F.transform(elements, _element_check(kind[0], f"{inside}."))
-            nested.append(F.get(F.filter(found, lambda r: r.isNotNull()), F.lit(0)))
+            inside = F.transform(_elements(value), _members)
+            nested.append(_first(F.transform(inside, _checker(kind[0], f"{path}{name}[]."))))
     unlike = F.lit(f"type:{path.removesuffix('.')}" if path else "malformed")
-    return F.when(members.isNull(), unlike).otherwise(F.coalesce(own, *nested))
+    return F.when(members.isNull(), unlike).otherwise(F.coalesce(*own, *nested))
 
 
-def _element_check(required: Required, path: str) -> Callable[[Column], Column]:
-    return lambda element: _problem(element, required, path)
+def _checker(required: Required, path: str) -> Callable[[Column], Column]:
+    return lambda members: _problem(members, required, path)
 
 
 def check(df: DataFrame, required: Required, value: str = "value", framed: bool = False) -> DataFrame:
@@ -135,7 +123,9 @@ def check(df: DataFrame, required: Required, value: str = "value", framed: bool
     ``array[].member``, and an element that is no object is ``type:array[]``. The text is parsed once.
     """
     text = _text_behind_frame(F.col(value)) if framed else F.col(value)
-    reason = _problem(F.try_parse_json(text), required, "")
+    # an array of one, so that the members are parsed once, wherever the optimizer moves the reason
+    parsed = F.array(_members(F.try_parse_json(text)))
+    reason = F.get(F.transform(parsed, _checker(required, "")), F.lit(0))
     return df.withColumn("reason", F.when(text.isNull(), "frame").otherwise(reason) if framed else reason)
 
 
