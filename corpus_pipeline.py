@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality classifier, exact dedup, near-dedup by exact Jaccard similarity, substring dedup, packing.
+"""Corpus pipeline: quality classifier, exact dedup, near-dedup by SimHash and exact Jaccard similarity, substring dedup, packing.
 
 Each stage takes what the one before kept, written as Parquet and read again.
 """
@@ -24,7 +24,7 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 4/5 or more over 5-word shingles."""
+    """One document of each group linked by SimHash (2 differing bits) or a Jaccard similarity of 4/5 over 5-word shingles."""
     return near_copies.keep_one(docs)
 
 

@@ -12,11 +12,16 @@ counts is never below the overlap, so a pair that fails here is not similar. Pai
 whole sets. Only the nodes of such pairs send anything, and they send their texts, which are half as long as the sets. The nodes of a larger bucket are dealt over blocks; each pair of
 blocks is compared at once, and of the links found only those of a spanning forest are kept, which has the
 same components. No bucket is cut or skipped.
+
+Documents whose SimHash fingerprints differ in at most two bits are linked as well (:mod:`simhash`: three-word
+shingles with repeats, the ring of segments); :func:`near_copies` alone leaves that to its caller, :func:`keep_one`
+does both, and a component is what the links of both reach.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -276,14 +281,39 @@ def links(docs: DataFrame, prints: DataFrame, shingle: int, bucket: int, block:
     return small.unionByName(stage(large.distinct(), f"{name}-large")).distinct()
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, block: int = BLOCK, name: str = "near-copies") -> DataFrame:
+def simhash_links(docs: DataFrame, prints: DataFrame, name: str) -> DataFrame:
+    """Edges (a, b), a < b, over set ids of documents whose SimHash fingerprints differ in at most two bits.
+
+    Documents with one fingerprint are linked to the least of their sets, the least sets of near fingerprints to each other.
+    """
+    text = F.col("text").cast("string")
+    sets = prints.groupBy("text_id").agg(F.min("fp").alias("fp"))
+    texts = docs.select(F.xxhash64(text).alias("doc_id"), text.alias("text"))
+    marked = simhash.fingerprints(texts).select(F.col("doc_id").alias("text_id"), F.col("fp").alias("print")).distinct()
+    marked = stage(marked.join(sets, "text_id").select("print", "fp").distinct(), f"{name}-marked")
+    nodes = stage(marked.groupBy("print").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")), f"{name}-marks")
+    equal = marked.join(nodes.filter("n > 1"), "print").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    near = simhash.links(nodes.select(F.col("print").alias("fp")), name=name)
+    ends = [nodes.select(F.col("print").alias(n), F.col("least").alias(f"_{n}")) for n in ("a", "b")]
+    near = near.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    edges = equal.unionByName(near).filter("a != b")
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_copies(
+    docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, block: int = BLOCK, name: str = "near-copies",
+    fingerprints: bool = False,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id (smallest doc_id that links reach).
 
-    Null ids are treated as in :func:`simhash.near_duplicates`.
+    Null ids are treated as in :func:`simhash.near_duplicates`. With ``fingerprints`` SimHash links count as well.
     """
     prints = _prints(docs, shingle, name)
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), f"{name}-nodes")
-    parts = connected_components(links(docs, prints, shingle, bucket, block, name), f"{name}-components")
+    edges = links(docs, prints, shingle, bucket, block, name)
+    if fingerprints:
+        edges = edges.unionByName(simhash_links(docs, prints, f"{name}-simhash")).distinct()
+    parts = connected_components(edges, f"{name}-components")
     parts = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "n", "least", F.coalesce("component", "fp").alias("component")
     )
@@ -295,5 +325,5 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, b
 
 
 def keep_one(docs: DataFrame, name: str = "near-copies") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id."""
-    return simhash.keep_one(docs, name, near_copies)
+    """The rows of ``docs`` that stay: of each component of both kinds of links the one with the smallest doc_id."""
+    return simhash.keep_one(docs, name, partial(near_copies, fingerprints=True))

@@ -77,3 +77,20 @@ def test_stage_of_the_pipeline(spark):
     small = spark.read.parquet(f"{SF}/documents.parquet")
     want = survivors([(r.doc_id, r.text) for r in small.collect()])
     assert {r.doc_id for r in corpus_pipeline.dedup_near(spark, small, SF).collect()} == want
+
+
+def test_simhash_links_count_in_the_pipeline(spark):
+    """Texts that say seven words over and over, then differ: few bits apart, but sets of shingles below 4/5."""
+    from lagwatch.llm import simhash
+
+    rng = np.random.default_rng(3)
+    hot = " ".join(["a b c d e f g"] * 400)
+    tails = [" ".join(f"{side}{k}" for k in rng.integers(0, 10**6, 6)) for side in ("x", "y")]
+    rows = [(1, f"{hot} {tails[0]}"), (2, f"{hot} {tails[1]}"), (3, "something else altogether in here")]
+    bits = simhash.fingerprint(rows[0][1].encode()) ^ simhash.fingerprint(rows[1][1].encode())
+    assert bits.bit_count() <= 2
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 5 * len(a & b) < 4 * len(a | b)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.dedup_near(spark, docs, SF).collect()} == {1, 3}
+    assert {r.component_id for r in near_copies.near_copies(docs).collect()} == {1, 2, 3}
