@@ -34,7 +34,7 @@ GRAMS = (2, 3, 4)
 EPOCHS = 8
 RATE = 2.0
 #: Words remembered by one Python worker before older ones go.
-MEMORY = 500_000
+MEMORY = 150_000
 ECHO = 0
 THRESHOLD = 0.3
 
