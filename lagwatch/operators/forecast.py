@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lagwatch import schemas
 from lagwatch.functions import arima, texts
 from lagwatch.functions.expr import deviation_percent, json_object, ladder
 from lagwatch.operators import timeline as tl
@@ -24,6 +27,7 @@ RESULT = T.StructType(
     ]
 )
 BLOCK_ROWS = 4096
+_CELLS = 1 << 20
 
 
 def forecast(
@@ -46,7 +50,7 @@ def forecast(
     into blocks of equal length that overlap by one window, so a key of any size is spread evenly.
 
     Algorithms: ``ARIMA`` (numpy); ``AR``, the same least squares on the orders ``p`` and ``d`` alone, in
-    JVM windows over values in ``per_unit``-ths; ``ZSCORE``, mean and deviation.
+    JVM windows over values in ``per_unit``-ths; ``ZSCORE``, mean and deviation (numpy).
     """
     numbered = tl.number_by_time(df, keys, "event_time")
     spread = tl.spread_rows(numbered, tl.ROW, chunk_rows, training_window)
@@ -79,35 +83,67 @@ def forecast(
     return detected.select(*names, result.alias("anomaly_data"))
 
 
+def trailing_moments(values: np.ndarray, known: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and sum of squared deviations of the known values among the ``rows`` before each value.
+
+    Only from the value at ``rows`` on, the first that has so many before it. Deviations are taken from the first known
+    value of each window, so equal values give exactly their value and zero. Windows are laid out a million cells at a time.
+    """
+    counts, means, squares = (np.zeros(max(len(values) - rows, 0)) for _ in range(3))
+    step = max(1, _CELLS // rows)
+    for low in range(0, len(counts), step):
+        high = min(low + step, len(counts))
+        seen = sliding_window_view(known[low : high + rows - 1], rows)
+        x = sliding_window_view(values[low : high + rows - 1], rows)
+        n = seen.sum(axis=1)
+        first = x[np.arange(high - low), seen.argmax(axis=1)]
+        away = np.where(seen, x - first[:, None], 0.0)
+        mean = away.sum(axis=1) / np.maximum(n, 1)
+        off = np.where(seen, away - mean[:, None], 0.0)
+        counts[low:high], means[low:high], squares[low:high] = n, first + mean, (off * off).sum(axis=1)
+    return counts, means, squares
+
+
 def _zscore(
     spread: DataFrame, value: str, threshold: float, rows: int, keys: Sequence[str]
 ) -> DataFrame:
-    """Mean and sample deviation of the preceding rows as the forecast, in plain SQL windows."""
-    window = Window.partitionBy(*keys, tl.CHUNK).orderBy(tl.ROW).rowsBetween(-rows, -1)
-    x = F.col(value).cast("double")
+    """Mean and sample deviation of the preceding rows as the forecast.
+
+    A sliding frame of Spark adds up all its rows anew for each row; here a block's windows are summed at once in
+    numpy, on Arrow tables whose other columns pass through unconverted.
+    """
+    names = [c for c in spread.columns if c not in (tl.CHUNK, tl.OWN)]
+    doubles = [T.StructField(name, T.DoubleType()) for name in ("_x", "_mean", "_sigma")]
+    schema = T.StructType([*(spread.schema[c] for c in names), *doubles])
+
+    def measure(block: pa.Table) -> pa.Table:
+        block = block.sort_by(tl.ROW)
+        x = block["_x"].combine_chunks()
+        known = x.is_valid().to_numpy(zero_copy_only=False)
+        with np.errstate(invalid="ignore"):
+            n, mean, square = trailing_moments(x.fill_null(0.0).to_numpy(zero_copy_only=False), known, rows)
+            sigma = np.sqrt(square / np.maximum(n - 1, 1))
+        early = np.ones(min(rows, len(known)), bool)
+        for name, found, least in (("_mean", mean, 1), ("_sigma", sigma, 2)):
+            missing = np.concatenate([early, n < least])
+            block = block.append_column(name, pa.array(np.concatenate([np.zeros(len(early)), found]), mask=missing))
+        return block.filter(block[tl.OWN]).select(schema.names)
+
+    blocks = spread.withColumn("_x", F.col(value).cast("double")).groupBy(*keys, tl.CHUNK)
     mean, sigma = F.col("_mean"), F.col("_sigma")
-    miss = F.abs(x - mean)
-    score = (
-        F.when(F.col("_seen") < rows, F.lit(None).cast("double"))
-        .when(sigma == 0, F.when(miss == 0, 0.0).otherwise(1.0))
-        .otherwise(F.least(F.try_divide(miss, sigma) / arima.SIGMAS_AT_FULL_SCORE, F.lit(1.0)))
-    )
-    measured = spread.withColumns(
-        {
-            "_seen": F.count(F.lit(1)).over(window),
-            "_mean": F.avg(x).over(window),
-            "_sigma": F.stddev_samp(x).over(window),
-        }
-    ).withColumn("_score", score)
+    full = F.col(tl.ROW) > rows
+    miss = F.abs(F.col("_x") - mean)
+    known = full & F.col("_x").isNotNull() & sigma.isNotNull()  # least() would take a missing score for 1
+    score = F.when(known, F.when(sigma == 0, F.when(miss == 0, 0.0).otherwise(1.0)).otherwise(
+        F.least(F.try_divide(miss, sigma) / arima.SIGMAS_AT_FULL_SCORE, F.lit(1.0))
+    ))
     result = F.struct(
         F.coalesce(F.col("_score") > threshold, F.lit(False)).alias("is_anomaly"),
         F.col("_score").alias("anomaly_score"),
-        F.when(F.col("_seen") >= rows, mean).alias("prediction"),
-    )
-    return tl.own_rows(
-        measured.withColumn("anomaly_data", result),
-        tl.ROW, "_seen", "_mean", "_sigma", "_score",
+        F.when(full, mean).alias("prediction"),
     )
+    measured = blocks.applyInArrow(measure, schema).withColumn("_score", score)
+    return measured.withColumn("anomaly_data", result).drop(tl.ROW, "_x", "_mean", "_sigma", "_score")
 
 
 def _autoregressive(
@@ -201,11 +237,17 @@ def _rule(detection_type: str, where: Column, context: Column) -> Rule:
     )
 
 
+def _read(metrics: DataFrame, *more: str, keys: Sequence[str] = GROUP, **_) -> DataFrame:
+    """The columns of an alert, of its keys and those a rule names besides: others stay out of the shuffles."""
+    names = {"event_time", *keys, *more, *schemas.ALERTS.fieldNames()}
+    return metrics.select(*[c for c in metrics.columns if c in names])
+
+
 def forecast_lag_up(metrics: DataFrame, algorithm: str = "ARIMA", **parameters) -> DataFrame:
     """Lag above its forecast, growing, and above 1000. Rows without lag are not trained on."""
     lag, predicted = F.col("current_lag"), F.col("anomaly_data.prediction")
     scored = forecast(
-        metrics.where(lag > 0), "current_lag", algorithm=algorithm, **parameters
+        _read(metrics.where(lag > 0), "lag_velocity", **parameters), "current_lag", algorithm=algorithm, **parameters
     )
     context = json_object(
         predicted_lag=predicted,
@@ -222,7 +264,8 @@ def forecast_lag_up(metrics: DataFrame, algorithm: str = "ARIMA", **parameters)
 def forecast_speed_down(metrics: DataFrame, algorithm: str = "ARIMA", **parameters) -> DataFrame:
     """Read speed more than 20 percent below its forecast. Idle rows are not trained on."""
     speed, predicted = F.col("read_speed"), F.col("anomaly_data.prediction")
-    scored = forecast(metrics.where(speed > 0), "read_speed", algorithm=algorithm, **parameters)
+    active = _read(metrics.where(speed > 0), "speed_ratio", "is_falling_behind", **parameters)
+    scored = forecast(active, "read_speed", algorithm=algorithm, **parameters)
     context = json_object(
         predicted_speed=predicted,
         actual_speed=speed,
@@ -243,7 +286,7 @@ def forecast_hot_partition(metrics: DataFrame, algorithm: str = "ARIMA", **param
         **parameters,
     }
     scored = forecast(
-        metrics.where((F.col("partition_count") > 1) & (skew > 0)),
+        _read(metrics.where((F.col("partition_count") > 1) & (skew > 0)), "partition_count", **parameters),
         "partition_skew_score",
         algorithm=algorithm,
         **settings,

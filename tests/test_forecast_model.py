@@ -110,3 +110,37 @@ def test_window_regression_refuses_what_it_cannot_fit(spark):
         with pytest.raises(ValueError, match="AR takes"):
             forecast.forecast(table, "v", algorithm="AR", **settings_)
     assert forecast.forecast(table, "v", algorithm="AR").isEmpty()
+
+
+def test_zscore_agrees_with_brute_force(spark):
+    rows, rng = 20, np.random.default_rng(3)
+    values = [None if i % 17 == 0 else float(v) for i, v in enumerate(rng.normal(50, 9, 150).round(3))]
+    table = spark.createDataFrame(
+        [("c", "g", at(10 * i), v) for i, v in enumerate(values)], "cluster_id string, consumer_group string, event_time timestamp, v double"
+    )
+    found = forecast.forecast(table, "v", training_window=rows, threshold=0.2, algorithm="ZSCORE", chunk_rows=16)
+    for i, row in enumerate(found.orderBy("event_time").collect()):
+        got, window = row.anomaly_data, [v for v in values[max(i - rows, 0) : i] if v is not None]
+        if i < rows or values[i] is None:
+            assert got.anomaly_score is None and not got.is_anomaly
+        else:
+            score = min(abs(values[i] - np.mean(window)) / np.std(window, ddof=1) / arima.SIGMAS_AT_FULL_SCORE, 1)
+            assert got.anomaly_score == pytest.approx(score) and got.is_anomaly == (score > 0.2)
+        assert got.prediction == (pytest.approx(np.mean(window)) if i >= rows else None)
+
+
+def test_zscore_of_an_unchanging_value(spark):
+    """A hundred times 0.1, added up and divided, is not 0.1: the series was an anomaly in every row."""
+    table = spark.createDataFrame(
+        [("c", "g", at(10 * i), 0.1) for i in range(150)], "cluster_id string, consumer_group string, event_time timestamp, v double"
+    )
+    found = forecast.forecast(table, "v", algorithm="ZSCORE").orderBy("event_time").collect()
+    assert [r.anomaly_data.prediction for r in found] == [None] * 100 + [0.1] * 50
+    assert [r.anomaly_data.anomaly_score for r in found] == [None] * 100 + [0.0] * 50
+    assert not any(r.anomaly_data.is_anomaly for r in found)
+
+
+def test_zscore_adds_up_no_window_for_each_row(spark):
+    table = spark.createDataFrame([("c", "g", at(0), 0.1)], "cluster_id string, consumer_group string, event_time timestamp, v double")
+    plan = forecast.forecast(table, "v", algorithm="ZSCORE")._jdf.queryExecution().executedPlan().toString()
+    assert "RowFrame, -100" not in plan
